@@ -246,13 +246,13 @@ ORACLES = {
             FROM dt WINDOW w AS (PARTITION BY tag ORDER BY {ARRIVAL} ROWS UNBOUNDED PRECEDING))"""),
     "start_end_events": sql(RIDES.format(join="JOIN orders ON l_orderkey = o_orderkey"), f"""
       ev AS (
-        SELECT row_no, 'START' AS kind, epoch_us(o_orderdate) // 1000000 AS at_s, 0 AS other_s, o_orderdate AS at,
+        SELECT row_no, 'START' AS kind, epoch_us(o_orderdate) // 1000000 AS at_s, 0 AS other_s, o_orderdate AS "at",
                TIMESTAMP '1970-01-01 00:00:00' AS other, {RIDE_REST} FROM rides
         UNION ALL
         SELECT row_no, 'END', epoch_us(l_shipdate) // 1000000, epoch_us(o_orderdate) // 1000000, l_shipdate, o_orderdate,
                {RIDE_REST} FROM rides)""", select="""
       SELECT row_no, kind, at_s, other_s, c11, c12, c13, c14, c8, c1, c2,
-             row_number() OVER (ORDER BY at, other, c11, c12, c13, c14, c8, c1, c2, row_no, kind) AS position FROM ev"""),
+             row_number() OVER (ORDER BY "at", other, c11, c12, c13, c14, c8, c1, c2, row_no, kind) AS position FROM ev"""),
     "row_numbered_projection": sql(RIDES.format(join=""), select="""
       SELECT row_no, CAST(l_orderkey AS VARCHAR) AS c1, CAST(l_partkey AS VARCHAR) AS c2,
              CAST(l_linenumber AS VARCHAR) AS c4, CAST(l_quantity AS VARCHAR) AS c5,
@@ -276,7 +276,7 @@ ORACLES = {
     "stream_longest_word": sql(
         DOC_TAGS, TOKENS, LONGEST.format(key=f"{window_s(20)},", where=f"tag IN ({TAG_LIST})").replace(
             f"SELECT {window_s(20)},", f"SELECT {window_s(20)} AS window_s,"),
-        select=f"SELECT window_s, tag, word, length FROM ranked WHERE nth = 1 AND {closed(20).format(posts='docs')}"),
+        select=f"SELECT window_s, tag, word, length FROM ranked WHERE nth = 1 AND {closed(20).format(posts=f'dt WHERE tag IN ({TAG_LIST})')}"),
     "stream_window_avg_words": sql(DOC_TAGS, select=f"""
       SELECT * FROM (SELECT {window_s(600)} AS window_s, tag, {AVG_COLUMNS}, sum(words) AS words, max(us) AS last_us
                      FROM dt GROUP BY 1, 2) WHERE {closed(600).format(posts='docs')}"""),

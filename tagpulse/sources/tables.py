@@ -21,7 +21,8 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger=
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    # as a pattern, the path may be one file as well as a folder
+    return reader.parquet(f"{sf_dir}/{{{name}}}.parquet")
 
 
 def _with_country(rows: DataFrame, nation: DataFrame | None) -> DataFrame:

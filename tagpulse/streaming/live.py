@@ -31,9 +31,9 @@ def new_users(tweets: DataFrame) -> DataFrame:
     Grouped rather than de-duplicated, because grouping combines before the shuffle. A pair that
     was seen in one batch only, and is in this one, is new.
     """
-    now = F.current_timestamp()
-    pairs = views.tag_user(tweets).groupBy("tag", "user_name").agg(
-        F.min(F.struct(*ARRIVAL)).alias("_first"), F.min(now).alias("_since"), F.max(now).alias("_until"))
+    rows = views.tag_user(tweets).withColumn("_now", F.current_timestamp())  # the same all through a batch
+    pairs = rows.groupBy("tag", "user_name").agg(
+        F.min(F.struct(*ARRIVAL)).alias("_first"), F.min("_now").alias("_since"), F.max("_now").alias("_until"))
     return pairs.where(F.col("_since") == F.col("_until")).select("tag", "user_name", "_first.*")
 
 
