@@ -70,7 +70,7 @@ def with_country_prefix(parts: DataFrame) -> DataFrame:
 def post_words(tweets: DataFrame, tags=None, match="exact", normalize=True) -> DataFrame:
     """(tag, words of the post) per hashtag; the text is counted once per post, not per tag."""
     counted = tweets.withColumn("words", word_count(F.col("text")))
-    return tag_rows(counted, "words", tags=tags, match=match, normalize=normalize)
+    return tag_rows(counted, "words", needs=["text"], tags=tags, match=match, normalize=normalize)
 
 
 def mean_words(rows: DataFrame, width=None, quoted=False) -> DataFrame:
@@ -90,7 +90,7 @@ def longest_word_rows(tweets: DataFrame, tags=None, utf16=False) -> DataFrame:
     """(tag, word, length): the longest word of each post, per hashtag."""
     if tags is not None:
         tweets = with_any_tag(tweets, tags)  # ahead of splitting the text
-    return tag_rows(with_longest_word(tweets, utf16), "word", "length", tags=tags)
+    return tag_rows(with_longest_word(tweets, utf16), "word", "length", needs=[], tags=tags)
 
 
 def longest_words(rows: DataFrame, width=None) -> DataFrame:
@@ -105,7 +105,7 @@ def longest_words(rows: DataFrame, width=None) -> DataFrame:
 
 def token_rows(tweets: DataFrame, utf16=False) -> DataFrame:
     """(tag, tokens, longest): token count and longest token of each post, per hashtag."""
-    return tag_rows(with_token_stats(tweets, utf16), "tokens", "longest")
+    return tag_rows(with_token_stats(tweets, utf16), "tokens", "longest", needs=[])
 
 
 def token_stats(rows: DataFrame, width=None) -> DataFrame:

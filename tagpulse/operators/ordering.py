@@ -5,6 +5,9 @@ laid out in ranges of (key, order) of even size, so that a hot key spans many ra
 is summed, the sums of earlier ranges are carried in, and the window runs within a range only.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +25,12 @@ def arrange(df: DataFrame, keys, order, ranges=None) -> DataFrame:
     adaptive execution merges small ones.
     """
     columns = [*keys, *order]
-    laid = df.repartitionByRange(ranges, *columns) if ranges else df.repartitionByRange(*columns)
-    return checkpointed(laid.withColumn(RANGE, F.spark_partition_id()))
+    held = df.persist()  # read twice, by the sample and by the shuffle
+    try:
+        laid = held.repartitionByRange(ranges, *columns) if ranges else held.repartitionByRange(*columns)
+        return checkpointed(laid.withColumn(RANGE, F.spark_partition_id()))
+    finally:
+        held.unpersist()
 
 
 def running_totals(df: DataFrame, keys, order, totals, lookup: DataFrame | None = None, ranges=None) -> DataFrame:
@@ -31,28 +38,36 @@ def running_totals(df: DataFrame, keys, order, totals, lookup: DataFrame | None
     up to and including this one.
 
     `lookup` has at most one row per key; its columns are added to the rows of that key, NULL
-    where it has none. It is joined to the sums per range, so a hot key costs it nothing.
+    where it has none. It meets the sums of the ranges, not the rows, so a hot key costs nothing.
     """
     keys, order = list(keys), list(order)
-    width = {f"_add_{name}": column for name, column in totals.items()}
-    laid = arrange(df.withColumns(width), keys, order, ranges)
+    add = {name: f"_add_{name}" for name in totals}
+    laid = arrange(df.withColumns({add[n]: c for n, c in totals.items()}), keys, order, ranges)
 
-    # at most one row per range and key: as many as there are keys, plus the number of ranges
-    sums = laid.groupBy(RANGE, *keys).agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
+    # one row per range and key in it: no more than there are keys and ranges together
+    sums = laid.groupBy(RANGE, *keys).agg(*[F.sum(c).alias(c) for c in add.values()])
     earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = sums.select(RANGE, *keys, *[F.sum(f"_sum_{n}").over(earlier).alias(f"_carry_{n}") for n in totals])
+    carried = sums.select(RANGE, *keys, *[F.sum(c).over(earlier).alias(c) for c in add.values()])
     extra = []
     if lookup is not None:
         extra = [c for c in lookup.columns if c not in keys]
         carried = carried.join(lookup, keys, "left")
-
-    so_far = Window.partitionBy(RANGE, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = laid.join(carried, [RANGE, *keys])
-    zero = {n: F.lit(0).cast(joined.schema[f"_carry_{n}"].dataType) for n in totals}
-    added = [
-        (F.sum(f"_add_{n}").over(so_far) + F.coalesce(F.col(f"_carry_{n}"), zero[n])).alias(n) for n in totals
-    ]
-    return joined.select(*df.columns, *extra, *added)
+    carried = carried.where(reduce(or_, (F.col(c).isNotNull() for c in [*add.values(), *extra])))
+
+    # what a range starts from becomes the first row of its key, ahead of the data
+    heads = carried.withColumn("_data", F.lit(False))
+    rows = laid.withColumn("_data", F.lit(True)).unionByName(heads, allowMissingColumns=True)
+    rows = rows.repartitionById(laid.rdd.getNumPartitions(), RANGE)
+    so_far = (
+        Window.partitionBy(RANGE, *keys).orderBy("_data", *order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        rows.select(
+            "_data", *df.columns, *[F.first(c).over(so_far).alias(c) for c in extra],
+            *[F.sum(c).over(so_far).alias(n) for n, c in add.items()])
+        .where("_data").drop("_data")
+    )
 
 
 def numbered(df: DataFrame, keys, order, name="position", ranges=None) -> DataFrame:

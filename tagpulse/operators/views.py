@@ -29,13 +29,17 @@ def with_any_tag(tweets: DataFrame, tags, match="exact") -> DataFrame:
     return tweets.where(F.exists("hashtags", lambda t: tag_matches(t, tags, match)))
 
 
-def tag_rows(tweets: DataFrame, *columns, tags=None, match="exact", normalize=True) -> DataFrame:
+def tag_rows(tweets: DataFrame, *columns, needs=None, tags=None, match="exact", normalize=True) -> DataFrame:
     """One row per hashtag: tag, arrival columns and `columns`.
 
-    Posts without hashtags, hashtags without text and rows lacking one of `columns` give none.
-    `tags=None` keeps every tag; `normalize=False` keeps the case of the key.
+    Posts without hashtags, hashtags without text and posts lacking one of `columns` give none.
+    Where columns are computed, `needs` names the stored ones to test in their place: a test on
+    the result would be pushed down and compute it twice. `tags=None` keeps every tag;
+    `normalize=False` keeps the case of the key.
     """
-    rows = tweets.dropna(subset=list(columns)) if columns else tweets
+    rows = tweets
+    for name in columns if needs is None else needs:
+        rows = rows.where(F.col(name).isNotNull())
     if tags is not None:
         rows = with_any_tag(rows, tags, match)
     rows = rows.select("ts", "tweet_id", *columns, F.posexplode("hashtags").alias("tag_pos", "tag"))

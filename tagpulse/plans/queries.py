@@ -13,7 +13,7 @@ from tagpulse.schema import ARRIVAL
 from tagpulse.session import checkpointed, fresh_folder
 from tagpulse.sources.posts import parse_tweets, to_lines
 from tagpulse.sources.sinks import copy_log, latest_updates, to_files, to_updates
-from tagpulse.sources.tables import from_documents, from_events, stream_table, table
+from tagpulse.sources.tables import from_documents, from_events, spread, stream_table, table
 from tagpulse.streaming import live
 from tagpulse.streaming.lists import read_compared, read_lists, start_lists
 from tagpulse.streaming.online import read_predictions, start_online_regression
@@ -31,11 +31,11 @@ def query(function):
 
 
 def docs(spark, sf_dir, places=False) -> DataFrame:
-    return from_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "nation") if places else None)
+    return from_documents(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "nation") if places else None)
 
 
 def events(spark, sf_dir, places=False) -> DataFrame:
-    return from_events(table(spark, sf_dir, "events"), table(spark, sf_dir, "nation") if places else None)
+    return from_events(spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "nation") if places else None)
 
 
 def live_docs(spark, sf_dir, places=False) -> DataFrame:
@@ -115,9 +115,9 @@ def regression_longest_word(spark, sf_dir):
 
 @query
 def regression_longest_word_scored(spark, sf_dir):
-    rows = agg.token_rows(docs(spark, sf_dir))
-    model = regression.fit(agg.token_stats(rows), "tokens", "longest")
-    cells = agg.token_stats(rows, "10 seconds")
+    cells = agg.token_stats(agg.token_rows(docs(spark, sf_dir)), "10 seconds")
+    # the whole of a tag is the total of its windows, so the text is split once
+    model = regression.fit(agg.token_stats(cells), "tokens", "longest")
     return rounded(plain(regression.score(cells, model, "tokens")), "prediction")
 
 
@@ -245,7 +245,7 @@ def recorded_series(spark, sf_dir):
 
 def _rides(spark, sf_dir) -> DataFrame:
     """Order lines as ride records of 14 fields: ordered is the start, shipped the end."""
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem")).join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     text = lambda c: F.col(c).cast("string")
     none = F.lit("")
@@ -268,7 +268,7 @@ def start_end_events(spark, sf_dir):
 
 @query
 def row_numbered_projection(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     fields = F.array(*[F.col(c).cast("string") for c in lines.columns])
     rows = lines.select(*[F.col(c).alias(f"_{c}") for c in RIDE_ORDER], fields.alias("fields"))
     return reshape.fares(rows, [f"_{c}" for c in RIDE_ORDER])

@@ -39,8 +39,10 @@ def _parsed(lines: DataFrame, mode: str) -> DataFrame:
     if mode == "PERMISSIVE":
         schema = T.StructType(POST.fields + [T.StructField("_bad", T.StringType())])
         options["columnNameOfCorruptRecord"] = "_bad"
+    else:
+        lines = lines.where(F.col("value").rlike(r"\S"))
     # inline() of the one parsed object keeps later filters from parsing the line a second time
-    return lines.where(F.col("value").rlike(r"\S")).select(
+    return lines.select(
         "value", "tweet_id", "ts", F.inline(F.array(F.from_json("value", schema, options))))
 
 
@@ -66,7 +68,8 @@ def parse_tweets(lines: DataFrame, mode="PERMISSIVE", with_line=False) -> DataFr
 
 def bad_lines(lines: DataFrame) -> DataFrame:
     """The lines that `parse_tweets` left out, to be written beside its result."""
-    return _parsed(lines, "PERMISSIVE").where(F.col("_bad").isNotNull()).select("value", "tweet_id", "ts")
+    bad = F.col("_bad").isNotNull() & F.col("value").rlike(r"\S")
+    return _parsed(lines, "PERMISSIVE").where(bad).select("value", "tweet_id", "ts")
 
 
 def to_lines(tweets: DataFrame) -> DataFrame:

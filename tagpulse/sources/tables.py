@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out anew if the files give fewer partitions than there are cores.
+
+    A file that cannot be split is one task, whatever is done with its text. Large tables have
+    partitions enough and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger=None) -> DataFrame:
     """The same table as a stream of its files."""
     path = f"{sf_dir}/{name}.parquet"

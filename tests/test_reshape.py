@@ -1,0 +1,59 @@
+"""Recorded series and ride records."""
+
+from fixtures import tuples
+from tagpulse.operators import reshape
+from tagpulse.plans import programs
+from tagpulse.sources.sinks import tuple_lines, write_lines
+
+
+def test_series_lines_are_read_back(spark):
+    lines = spark.createDataFrame([('("usa",4.0,1,1000)',), ('("usa",5.5,2,3000)',), ('("peru",2.0,1,1500)',)], "value string")
+    got = programs.chart_series(lines, 1000)
+    assert sorted((r.tag, r.part, [tuple(p) for p in r.series]) for r in got.collect()) == [
+        ("peru", 0, [(2.0, 500)]), ("usa", 0, [(4.0, 0), (5.5, 2000)])]
+    split = programs.chart_series(lines, 1)
+    assert tuples(split, "tag", "part") == [("peru", 0), ("usa", 0), ("usa", 1)]
+
+
+def test_running_means_obey_the_recorded_rules(spark, sf_dir):
+    """As in recorded files: n runs from 1 per tag, and n·mean − (n−1)·previous mean is a whole number."""
+    from tagpulse.operators import aggregates as agg, running
+    from tagpulse.plans.queries import docs
+    lines = reshape.series_lines(running.running_mean_words(agg.post_words(docs(spark, sf_dir))))
+    last = {}
+    for r in sorted(reshape.parse_series(lines).collect(), key=lambda r: (r.tag, r.posts)):
+        n, mean, ms = last.get(r.tag, (0, 0.0, 0))
+        words = r.posts * r.avg_words - n * mean
+        assert r.posts == n + 1 and r.ms >= ms and abs(words - round(words)) < 1e-6 and words > 0.9
+        last[r.tag] = (r.posts, r.avg_words, r.ms)
+
+
+def ride(start, end, tail):
+    return f"m{tail},h{tail},3,v,5,{start},{end},8,9,10,p1,p2,q1,q2{tail}\r\n"
+
+
+def test_trips(spark, tmp_path):
+    (tmp_path / "rides.csv").write_bytes(
+        (ride("2013-01-01 10:00:00", "2013-01-01 11:00:00", "a") + ride("2013-01-01 09:00:00", "2013-01-01 10:30:00", "b")).encode())
+    got = [(r.position, r.row_no, r.kind, str(r.at), str(r.other), r.c14, r.c1)
+           for r in programs.trip_lines(spark, str(tmp_path)).collect()]
+    assert got == [
+        (1, 2, "START", "2013-01-01 09:00:00", "1970-01-01 00:00:00", "q2b", "mb"),
+        (2, 1, "START", "2013-01-01 10:00:00", "1970-01-01 00:00:00", "q2a", "ma"),
+        (3, 2, "END", "2013-01-01 10:30:00", "2013-01-01 09:00:00", "q2b", "mb"),
+        (4, 1, "END", "2013-01-01 11:00:00", "2013-01-01 10:00:00", "q2a", "ma")]
+
+
+def test_fares(spark, tmp_path):
+    (tmp_path / "fares.csv").write_bytes(b"1,2,3,4,5,6,7,8,9,10,11\r\na,b,c,d,e,f,g,h,i\r\n")
+    got = reshape.as_csv_lines(programs.fare_lines(spark, str(tmp_path)).orderBy("row_no"),
+                               ["row_no", "c1", "c2", "c4", "c5", "c9", "c10", "c11"])
+    assert [r.value for r in got.collect()] == ["1,1,2,4,5,9,10,11", "2,a,b,d,e,i,,"]
+
+
+def test_text_sink(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "t string, n int")
+    assert tuples(tuple_lines(df)) == [("(a,1)",), ("(null,2)",)]
+    for _ in range(2):
+        write_lines(df, str(tmp_path / "out"))
+    assert tuples(spark.read.text(str(tmp_path / "out"))) == [("(a,1)",), ("(null,2)",)]
