@@ -10,7 +10,7 @@ from tagpulse.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, 4)
+    return local_session(8, 3)
 
 
 @pytest.fixture
