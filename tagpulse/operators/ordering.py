@@ -17,7 +17,8 @@ RANGE = "_range"
 
 
 def arrange(df: DataFrame, keys, order, ranges=None) -> DataFrame:
-    """`df` cut into even ranges of (keys, order), numbered in `_range`.
+    """`df` cut into even ranges of (keys, order): sorted, with the range in `_range` and the
+    row's place in it, from 0, in `_place`.
 
     The cut points come from a sample, so the result is written once to the shared folder: every
     later use, and every retry after a lost executor, sees the same ranges. `order` must be
@@ -28,36 +29,42 @@ def arrange(df: DataFrame, keys, order, ranges=None) -> DataFrame:
     held = df.persist()  # read twice, by the sample and by the shuffle
     try:
         laid = held.repartitionByRange(ranges, *columns) if ranges else held.repartitionByRange(*columns)
-        return checkpointed(laid.withColumn(RANGE, F.spark_partition_id()))
+        row = F.monotonically_increasing_id()  # partition number above bit 33, place below
+        laid = laid.sortWithinPartitions(*columns).withColumn("_row", row)
+        return checkpointed(laid.select(
+            *df.columns, F.shiftright("_row", 33).cast("int").alias(RANGE),
+            F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")))
     finally:
         held.unpersist()
 
 
-def running_totals(df: DataFrame, keys, order, totals, lookup: DataFrame | None = None, ranges=None) -> DataFrame:
-    """Adds, for each `name: column` of `totals`, the column's sum over the rows of the same key
-    up to and including this one.
+def running(df: DataFrame, keys, order, totals, maxima=None, lookup: DataFrame | None = None, ranges=None) -> DataFrame:
+    """Adds running values over the rows of the same key up to and including this one: for each
+    `name: column` of `totals` the sum, for each of `maxima` the largest value that is not NULL.
 
     `lookup` has at most one row per key; its columns are added to the rows of that key, NULL
     where it has none. It meets the sums of the ranges, not the rows, so a hot key costs nothing.
     """
-    keys, order = list(keys), list(order)
-    add = {name: f"_add_{name}" for name in totals}
-    laid = arrange(df.withColumns({add[n]: c for n, c in totals.items()}), keys, order, ranges)
+    keys, order, maxima = list(keys), list(order), maxima or {}
+    # output name -> (column of one row's share, how shares combine)
+    parts = {n: (f"_share_{n}", F.sum) for n in totals} | {n: (f"_share_{n}", F.max) for n in maxima}
+    shares = {parts[n][0]: c for n, c in (totals | maxima).items()}
+    laid = arrange(df.withColumns(shares), keys, order, ranges).drop("_place")
 
     # one row per range and key in it: no more than there are keys and ranges together
-    sums = laid.groupBy(RANGE, *keys).agg(*[F.sum(c).alias(c) for c in add.values()])
+    sums = laid.groupBy(RANGE, *keys).agg(*[merge(c).alias(c) for c, merge in parts.values()])
     earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = sums.select(RANGE, *keys, *[F.sum(c).over(earlier).alias(c) for c in add.values()])
+    carried = sums.select(RANGE, *keys, *[merge(c).over(earlier).alias(c) for c, merge in parts.values()])
     extra = []
     if lookup is not None:
         extra = [c for c in lookup.columns if c not in keys]
         carried = carried.join(lookup, keys, "left")
-    carried = carried.where(reduce(or_, (F.col(c).isNotNull() for c in [*add.values(), *extra])))
+    carried = carried.where(reduce(or_, (F.col(c).isNotNull() for c in [*shares, *extra])))
 
     # what a range starts from becomes the first row of its key, ahead of the data
     heads = carried.withColumn("_data", F.lit(False))
     rows = laid.withColumn("_data", F.lit(True)).unionByName(heads, allowMissingColumns=True)
-    rows = rows.repartitionById(laid.rdd.getNumPartitions(), RANGE)
+    rows = rows.repartitionById(max(laid.rdd.getNumPartitions(), 1), RANGE)
     so_far = (
         Window.partitionBy(RANGE, *keys).orderBy("_data", *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -65,14 +72,22 @@ def running_totals(df: DataFrame, keys, order, totals, lookup: DataFrame | None
     return (
         rows.select(
             "_data", *df.columns, *[F.first(c).over(so_far).alias(c) for c in extra],
-            *[F.sum(c).over(so_far).alias(n) for n, c in add.items()])
+            *[merge(c).over(so_far).alias(n) for n, (c, merge) in parts.items()])
         .where("_data").drop("_data")
     )
 
 
 def numbered(df: DataFrame, keys, order, name="position", ranges=None) -> DataFrame:
     """Adds the row's number within its key, from 1 without gaps. No keys: number all rows."""
-    return running_totals(df, keys, order, {name: F.lit(1).cast("long")}, ranges=ranges)
+    if keys:
+        return running(df, keys, order, {name: F.lit(1).cast("long")}, ranges=ranges)
+    # the place in the range plus the rows of earlier ranges: no further shuffle of the rows
+    laid = arrange(df, [], order, ranges)
+    earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    counts = laid.groupBy(RANGE).agg(F.count("*").alias("_rows"))
+    starts = counts.select(RANGE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    # one row per range, so never more than there are partitions
+    return laid.join(F.broadcast(starts), RANGE).select(*df.columns, (F.col("_start") + F.col("_place") + 1).alias(name))
 
 
 def part_of(position, size):

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagpulse.operators.ordering import running_totals
+from tagpulse.operators.ordering import running
 
 SUMS = ["n", "x", "y", "xx", "xy"]
 
@@ -55,7 +55,7 @@ def online_predictions(cells: DataFrame, x, y, xy=None, order=("window_start", "
     sums of earlier cells, as `point_sums` gives them.
     """
     terms = _terms(cells, x, y, xy)
-    summed = running_totals(cells, [], order, {f"_{n}": c for n, c in terms.items()}, ranges=ranges)
+    summed = running(cells, [], order, {f"_{n}": c for n, c in terms.items()}, ranges=ranges)
     if before is not None:
         summed = summed.withColumns({
             f"_{n}": F.col(f"_{n}") + F.lit(before[n]).cast(summed.schema[f"_{n}"].dataType) for n in SUMS})

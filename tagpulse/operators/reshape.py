@@ -28,8 +28,8 @@ def parse_series(lines: DataFrame) -> DataFrame:
 def series_points(points: DataFrame, ranges=None) -> DataFrame:
     """(tag, point, avg_words, elapsed_ms): the points of each tag in time order, and the time
     since the first of all points."""
-    start = points.agg(F.min("ms").alias("start")).scalar()
     placed = numbered(points, ["tag"], ["ms", "posts"], "point", ranges)
+    start = placed.agg(F.min("ms").alias("start")).scalar()
     return placed.select("tag", "point", "avg_words", (F.col("ms") - start).alias("elapsed_ms"))
 
 

@@ -196,7 +196,7 @@ ORACLES = {
       SELECT tag, us AS ts_us, tweet_id, tag_pos,
              count(*) OVER (PARTITION BY tag ORDER BY {ARRIVAL} ROWS UNBOUNDED PRECEDING) AS uses
       FROM et WHERE lang = 'en'"""),
-    "running_users_per_tag": sql(EVENT_TAGS, RUNNING_USERS, select="SELECT * FROM ru"),
+    "running_users_per_tag": sql(EVENT_TAGS, RUNNING_USERS, select="SELECT * EXCLUDE (is_new) FROM ru"),
     "running_user_lists": sql(EVENT_TAGS, RUNNING_USERS, USER_STATES, select="""
       SELECT tag, user_name, ts_us, tweet_id, tag_pos, uses, users, part, text
       FROM ru JOIN states USING (tag, users)"""),

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tagpulse.operators import compare
 from tagpulse.operators.aggregates import PART
-from tagpulse.operators.ordering import lists_in_parts, part_of, running_totals
+from tagpulse.operators.ordering import lists_in_parts, part_of, running
 from tagpulse.schema import ARRIVAL
 from tagpulse.session import checkpointed
 from tagpulse.sources.sinks import latest_updates
@@ -30,7 +30,7 @@ def _extend(batch: DataFrame, batch_id: int, key, item, out, part_size) -> DataF
 
     # cut points are sampled from the rows before they are moved; do not run the stream's plan twice
     rows = checkpointed(batch.select(key, item, *ARRIVAL))
-    placed = running_totals(
+    placed = running(
         rows, [key], ARRIVAL, {"position": F.lit(1).cast("long")}, lookup=before.select(key, "size"))
     placed = placed.withColumn("position", F.col("position") + F.coalesce("size", F.lit(0))).drop("size")
     items = write_batch(placed, f"{out}/items", batch_id)

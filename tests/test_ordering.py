@@ -8,7 +8,8 @@ from fixtures import tuples, tweets_df
 from pyspark.sql import functions as F
 from tagpulse.operators import aggregates as agg
 from tagpulse.operators import compare, regression, running, views
-from tagpulse.operators.ordering import arrange, numbered, running_totals
+from tagpulse.operators.ordering import arrange, numbered
+from tagpulse.operators.ordering import running as running_values
 
 RANGES = [1, 7]
 
@@ -61,8 +62,7 @@ def test_running_mean(spark, ranges):
 
 @pytest.mark.parametrize("ranges", RANGES)
 @pytest.mark.parametrize("part_size", [3, 1000])
-def test_running_user_text(spark, ranges, part_size, monkeypatch):
-    monkeypatch.setattr(running, "BLOCK", 5)  # states that last over many blocks
+def test_running_user_text(spark, ranges, part_size):
     data = posts(300)
     users, uses, expected = {}, {}, []
     for (at, i, j), tag, p in arrivals(data):
@@ -109,7 +109,7 @@ def test_row_numbers(spark, ranges):
 def test_null_order_values_and_lookup(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", 2, 5), ("b", 1, 7), ("a", 3, 2)], "k string, o int, v long")
     known = spark.createDataFrame([("a", "x"), ("c", "y")], "k string, extra string")
-    got = running_totals(df, ["k"], ["o"], {"total": F.col("v")}, known, ranges=3)
+    got = running_values(df, ["k"], ["o"], {"total": F.col("v")}, lookup=known, ranges=3)
     assert sorted(got.select("k", "v", "extra", "total").collect()) == [
         ("a", 1, "x", 1), ("a", 2, "x", 8), ("a", 5, "x", 6), ("b", 7, None, 7)]
 
