@@ -16,7 +16,7 @@ from tagpulse.session import checkpointed
 RANGE = "_range"
 
 
-def arrange(df: DataFrame, keys, order, ranges=None) -> DataFrame:
+def arrange(df: DataFrame, keys, order, ranges=None, hold=True) -> DataFrame:
     """`df` cut into even ranges of (keys, order): sorted, with the range in `_range` and the
     row's place in it, from 0, in `_place`.
 
@@ -24,9 +24,13 @@ def arrange(df: DataFrame, keys, order, ranges=None) -> DataFrame:
     later use, and every retry after a lost executor, sees the same ranges. `order` must be
     unique within a key. The number of ranges is `spark.sql.shuffle.partitions` by default, and
     adaptive execution merges small ones.
+
+    The sample and the shuffle each read `df`. Rows drawn from posts are far narrower than the
+    posts, so they are held in between and the posts are read once; with hold=False they are
+    read twice, which is cheaper where the rows are as wide as their source.
     """
     columns = [*keys, *order]
-    held = df.persist()  # read twice, by the sample and by the shuffle
+    held = df.persist() if hold else df
     try:
         laid = held.repartitionByRange(ranges, *columns) if ranges else held.repartitionByRange(*columns)
         row = F.monotonically_increasing_id()  # partition number above bit 33, place below
@@ -35,7 +39,8 @@ def arrange(df: DataFrame, keys, order, ranges=None) -> DataFrame:
             *df.columns, F.shiftright("_row", 33).cast("int").alias(RANGE),
             F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")))
     finally:
-        held.unpersist()
+        if hold:
+            held.unpersist()
 
 
 def running(df: DataFrame, keys, order, totals, maxima=None, lookup: DataFrame | None = None, ranges=None) -> DataFrame:
@@ -77,12 +82,12 @@ def running(df: DataFrame, keys, order, totals, maxima=None, lookup: DataFrame |
     )
 
 
-def numbered(df: DataFrame, keys, order, name="position", ranges=None) -> DataFrame:
+def numbered(df: DataFrame, keys, order, name="position", ranges=None, hold=True) -> DataFrame:
     """Adds the row's number within its key, from 1 without gaps. No keys: number all rows."""
     if keys:
         return running(df, keys, order, {name: F.lit(1).cast("long")}, ranges=ranges)
     # the place in the range plus the rows of earlier ranges: no further shuffle of the rows
-    laid = arrange(df, [], order, ranges)
+    laid = arrange(df, [], order, ranges, hold)
     earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     counts = laid.groupBy(RANGE).agg(F.count("*").alias("_rows"))
     starts = counts.select(RANGE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
@@ -92,7 +97,7 @@ def numbered(df: DataFrame, keys, order, name="position", ranges=None) -> DataFr
 
 def part_of(position, size):
     """Parts are numbered from 0 and hold `size` positions each."""
-    return F.floor((F.col(position) - 1) / F.lit(size)).cast("long")
+    return F.call_function("div", F.col(position) - 1, F.lit(size))
 
 
 def lists_in_parts(rows: DataFrame, keys, position, item, name, size) -> DataFrame:

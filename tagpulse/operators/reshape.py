@@ -61,7 +61,7 @@ def _field(number) -> Column:
 def fares(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
     """Row number and fields 1, 2, 4, 5, 9, 10, 11."""
     picked = rows.select(*order, *[_field(n).alias(f"c{n}") for n in (1, 2, 4, 5, 9, 10, 11)])
-    return numbered(picked, [], order, "row_no", ranges).select(
+    return numbered(picked, [], order, "row_no", ranges, hold=False).select(
         "row_no", *[f"c{n}" for n in (1, 2, 4, 5, 9, 10, 11)])
 
 
@@ -74,13 +74,13 @@ def trips(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
     """
     rest = ["c11", "c12", "c13", "c14", "c8", "c1", "c2"]
     picked = rows.select(*order, *[_field(n).alias(f"c{n}") for n in (1, 2, 6, 7, 8, 11, 12, 13, 14)])
-    rides = numbered(picked, [], order, "row_no", ranges)
+    rides = numbered(picked, [], order, "row_no", ranges, hold=False)
     time = lambda text: text.try_cast("timestamp_ntz")
     event = lambda kind, at, other: F.struct(F.lit(kind).alias("kind"), time(at).alias("at"), time(other).alias("other"))
     both = F.array(event("START", F.col("c6"), F.lit(NO_TIME)), event("END", F.col("c7"), F.col("c6")))
     events = rides.select("row_no", F.explode(both).alias("event"), *rest).select(
         "row_no", F.col("event.kind").alias("kind"), F.col("event.at").alias("at"), F.col("event.other").alias("other"), *rest)
-    return numbered(events, [], ["at", "other", *rest, "row_no", "kind"], "position", ranges)
+    return numbered(events, [], ["at", "other", *rest, "row_no", "kind"], "position", ranges, hold=False)
 
 
 def as_csv_lines(rows: DataFrame, columns) -> DataFrame:

@@ -239,6 +239,10 @@ ORACLES = {
         DOC_TAGS, EVENT_TAGS, running_country("et"), COUNTRY_PARTS.format(name="rec", rows="dt"), select=f"""
       SELECT country, ts_us, tweet_id, tag_pos, part, {label(or_none("rec.tags || ';'"), "text")} AS result
       FROM rc LEFT JOIN rec USING (country, part)"""),
+    "recorded_result_sizes": sql(DOC_TAGS, select="""
+      SELECT 'counts' AS result, count(DISTINCT tag) AS groups FROM dt WHERE lang = 'en' AND length(text) > 0
+      UNION ALL SELECT 'users', count(DISTINCT tag) FROM dt
+      UNION ALL SELECT 'countries', count(DISTINCT country) FROM dt"""),
     "recorded_series": sql(DOC_TAGS, select=f"""
       SELECT tag, (point - 1) // {COUNTRY_PART} AS part, (point - 1) % {COUNTRY_PART} AS place, avg_words,
              us // 1000 - (SELECT min(us) // 1000 FROM dt) AS elapsed_ms

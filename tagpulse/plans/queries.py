@@ -233,6 +233,19 @@ def compare_country_tags_updates(spark, sf_dir):
         views.country_tag(events(spark, sf_dir, places=True)), COUNTRY_PART))
 
 
+@query
+def recorded_result_sizes(spark, sf_dir):
+    """How many groups each recorded result has."""
+    english = views.tag_rows(views.english_with_text(docs(spark, sf_dir)))
+    sizes = [
+        agg.tag_counts(english).agg(F.count("*").alias("groups")).withColumn("result", F.lit("counts")),
+        views.tag_user(docs(spark, sf_dir)).agg(F.count_distinct("tag").alias("groups")).withColumn("result", F.lit("users")),
+        views.country_tag(docs(spark, sf_dir, places=True)).agg(
+            F.count_distinct("country").alias("groups")).withColumn("result", F.lit("countries")),
+    ]
+    return sizes[0].unionByName(sizes[1]).unionByName(sizes[2])
+
+
 # reshaping
 
 @query

@@ -1,6 +1,6 @@
 """Where results and streams go. Every stream keeps its progress in a checkpoint folder."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -16,6 +16,13 @@ def show(df: DataFrame, rows=20) -> None:
     df.show(rows, truncate=False)
 
 
+def with_size(df: DataFrame, name="rows") -> tuple[DataFrame, Observation]:
+    """The result, and an observation of its number of rows: filled by the first action on the
+    result, at no further pass."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias(name)), seen
+
+
 def write_lines(df: DataFrame, path) -> None:
     """A result as text, overwriting; one file per partition."""
     tuple_lines(df).write.mode("overwrite").text(path)

@@ -3,7 +3,7 @@
 from fixtures import tuples
 from tagpulse.operators import reshape
 from tagpulse.plans import programs
-from tagpulse.sources.sinks import tuple_lines, write_lines
+from tagpulse.sources.sinks import tuple_lines, with_size, write_lines
 
 
 def test_series_lines_are_read_back(spark):
@@ -57,3 +57,9 @@ def test_text_sink(spark, tmp_path):
     for _ in range(2):
         write_lines(df, str(tmp_path / "out"))
     assert tuples(spark.read.text(str(tmp_path / "out"))) == [("(a,1)",), ("(null,2)",)]
+
+
+def test_size_is_seen_while_writing(spark, tmp_path):
+    df, seen = with_size(spark.range(7).select("id"))
+    write_lines(df, str(tmp_path / "out"))
+    assert seen.get == {"rows": 7}
