@@ -83,7 +83,10 @@ def running(df: DataFrame, keys, order, totals, maxima=None, lookup: DataFrame |
 
 
 def numbered(df: DataFrame, keys, order, name="position", ranges=None, hold=True) -> DataFrame:
-    """Adds the row's number within its key, from 1 without gaps. No keys: number all rows."""
+    """Adds the row's number within its key, from 1 without gaps.
+
+    Without keys all rows are numbered, and come out in that order.
+    """
     if keys:
         return running(df, keys, order, {name: F.lit(1).cast("long")}, ranges=ranges)
     # the place in the range plus the rows of earlier ranges: no further shuffle of the rows

@@ -18,11 +18,13 @@ def series_lines(means: DataFrame) -> DataFrame:
 
 
 def parse_series(lines: DataFrame) -> DataFrame:
-    """(tag, avg_words, posts, ms) of recorded lines; quotes and brackets are dropped."""
-    field = F.split(F.regexp_replace("value", '["()]', ""), ",")
+    """(tag, avg_words, posts, ms) of recorded lines; quotes and brackets are dropped, and so are
+    lines without a mean or a time."""
+    fields = F.split(F.regexp_replace("value", '["()]', ""), ",")
     return lines.select(
-        field[0].alias("tag"), field[1].cast("double").alias("avg_words"),
-        field[2].cast("long").alias("posts"), field[3].cast("long").alias("ms"))
+        F.get(fields, 0).alias("tag"), F.get(fields, 1).try_cast("double").alias("avg_words"),
+        F.get(fields, 2).try_cast("long").alias("posts"), F.get(fields, 3).try_cast("long").alias("ms"),
+    ).where("avg_words is not null and ms is not null")
 
 
 def series_points(points: DataFrame, ranges=None) -> DataFrame:
@@ -70,7 +72,8 @@ def trips(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
 
     START carries the start time (field 6) and no other time, END the end time (field 7) and
     the start time; both carry fields 11-14, 8, 1, 2. Times are typed, so the order is that of
-    time in every locale; a field that is no time gives NULL and sorts first.
+    time in every locale; a field that is no time gives NULL and sorts first. The rows come out
+    in that order.
     """
     rest = ["c11", "c12", "c13", "c14", "c8", "c1", "c2"]
     picked = rows.select(*order, *[_field(n).alias(f"c{n}") for n in (1, 2, 6, 7, 8, 11, 12, 13, 14)])

@@ -130,4 +130,4 @@ def fare_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def trip_lines(spark: SparkSession, path) -> DataFrame:
-    return reshape.trips(reshape.read_fields(spark, path)).orderBy("position")
+    return reshape.trips(reshape.read_fields(spark, path))

@@ -63,7 +63,7 @@ def from_documents(documents: DataFrame, nation: DataFrame | None = None) -> Dat
 def from_events(events: DataFrame, nation: DataFrame | None = None) -> DataFrame:
     """Events as posts with the hashtags [event type, a topic of the user]; errors have no place."""
     user = F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     rows = events.select(
         F.col("event_id").alias("tweet_id"),
         F.col("ts").cast("timestamp").alias("ts"),

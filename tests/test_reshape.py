@@ -11,6 +11,8 @@ def test_series_lines_are_read_back(spark):
     got = programs.chart_series(lines, 1000)
     assert sorted((r.tag, r.part, [tuple(p) for p in r.series]) for r in got.collect()) == [
         ("peru", 0, [(2.0, 500)]), ("usa", 0, [(4.0, 0), (5.5, 2000)])]
+    broken = lines.union(spark.createDataFrame([("oops",), ('("usa",x,1,1)',), ("",)], "value string"))
+    assert reshape.parse_series(broken).count() == 3
     split = programs.chart_series(lines, 1)
     assert tuples(split, "tag", "part") == [("peru", 0), ("usa", 0), ("usa", 1)]
 
