@@ -36,7 +36,7 @@ toks AS (
 tok_stats AS (
   SELECT tweet_id, count(*) AS tokens, max(length(word)) AS longest FROM toks GROUP BY 1),
 tag_tokens AS (
-  SELECT tag, sum(tokens) AS tokens, max(longest) AS longest FROM dt JOIN tok_stats USING (tweet_id) GROUP BY 1)"""
+  SELECT tag, CAST(sum(tokens) AS BIGINT) AS tokens, max(longest) AS longest FROM dt JOIN tok_stats USING (tweet_id) GROUP BY 1)"""
 ARRIVAL = "us, tweet_id, tag_pos"
 
 
@@ -80,7 +80,7 @@ firsts AS (
 ru AS (
   SELECT tag, user_name, us AS ts_us, tweet_id, tag_pos, is_new,
          count(*) OVER (PARTITION BY tag ORDER BY {ARRIVAL} ROWS UNBOUNDED PRECEDING) AS uses,
-         sum(is_new) OVER (PARTITION BY tag ORDER BY {ARRIVAL} ROWS UNBOUNDED PRECEDING) AS users
+         CAST(sum(is_new) OVER (PARTITION BY tag ORDER BY {ARRIVAL} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS users
   FROM firsts)"""
 USER_STATES = f"""
 states AS (
@@ -190,7 +190,7 @@ ORACLES = {
       SELECT round(slope, 6) AS slope, round(intercept, 6) AS intercept, CAST(points AS BIGINT) AS points FROM model"""),
     "regression_longest_word_scored": sql(DOC_TAGS, TOKENS, FIT, select=f"""
       SELECT window_s, tag, tokens, longest, round(intercept + slope * tokens, 6) AS prediction
-      FROM (SELECT {window_s(10)} AS window_s, tag, sum(tokens) AS tokens, max(longest) AS longest
+      FROM (SELECT {window_s(10)} AS window_s, tag, CAST(sum(tokens) AS BIGINT) AS tokens, max(longest) AS longest
             FROM dt JOIN tok_stats USING (tweet_id) GROUP BY 1, 2), model"""),
     "running_tag_count": sql(EVENT_TAGS, select=f"""
       SELECT tag, us AS ts_us, tweet_id, tag_pos,
@@ -213,11 +213,11 @@ ORACLES = {
             f"SELECT {window_s(20)},", f"SELECT {window_s(20)} AS window_s,"),
         select="SELECT window_s, tag, word, length FROM ranked WHERE nth = 1"),
     "window_avg_words": sql(DOC_TAGS, select=f"""
-      SELECT {window_s(3600)} AS window_s, tag, {AVG_COLUMNS}, sum(words) AS words, max(us) AS last_us
+      SELECT {window_s(3600)} AS window_s, tag, {AVG_COLUMNS}, CAST(sum(words) AS BIGINT) AS words, max(us) AS last_us
       FROM dt GROUP BY 1, 2"""),
     "window_user_counts": sql(EVENT_TAGS, USER_CELLS, select="SELECT * FROM cells"),
     "window_token_stats": sql(DOC_TAGS, TOKENS, select=f"""
-      SELECT {window_s(10)} AS window_s, tag, sum(tokens) AS tokens, max(longest) AS longest
+      SELECT {window_s(10)} AS window_s, tag, CAST(sum(tokens) AS BIGINT) AS tokens, max(longest) AS longest
       FROM dt JOIN tok_stats USING (tweet_id) GROUP BY 1, 2"""),
     "online_regression_users": sql(EVENT_TAGS, USER_CELLS, USER_POINTS.format(where=""), online("points"), select="""
       SELECT window_s, tag, uses, users, round(prediction, 6) AS prediction FROM preds"""),
@@ -276,19 +276,19 @@ ORACLES = {
     "stream_users_per_tag": USERS_PER_TAG,
     "stream_tags_per_country": TAGS_PER_COUNTRY,
     "stream_avg_words": sql(DOC_TAGS, select=f"""
-      SELECT tag, {AVG_COLUMNS}, sum(words) AS words, max(us) AS last_us FROM dt GROUP BY 1"""),
+      SELECT tag, {AVG_COLUMNS}, CAST(sum(words) AS BIGINT) AS words, max(us) AS last_us FROM dt GROUP BY 1"""),
     "stream_longest_word": sql(
         DOC_TAGS, TOKENS, LONGEST.format(key=f"{window_s(20)},", where=f"tag IN ({TAG_LIST})").replace(
             f"SELECT {window_s(20)},", f"SELECT {window_s(20)} AS window_s,"),
         select=f"SELECT window_s, tag, word, length FROM ranked WHERE nth = 1 AND {closed(20).format(posts=f'dt WHERE tag IN ({TAG_LIST})')}"),
     "stream_window_avg_words": sql(DOC_TAGS, select=f"""
-      SELECT * FROM (SELECT {window_s(600)} AS window_s, tag, {AVG_COLUMNS}, sum(words) AS words, max(us) AS last_us
+      SELECT * FROM (SELECT {window_s(600)} AS window_s, tag, {AVG_COLUMNS}, CAST(sum(words) AS BIGINT) AS words, max(us) AS last_us
                      FROM dt GROUP BY 1, 2) WHERE {closed(600).format(posts='docs')}"""),
     "stream_window_user_counts": sql(EVENT_TAGS, USER_CELLS, select=f"""
       SELECT * FROM cells WHERE {closed(3600).format(posts='evs')}"""),
     "stream_regression_scored": sql(DOC_TAGS, TOKENS, FIT, select=f"""
       SELECT window_s, tag, tokens, longest, round(intercept + slope * tokens, 6) AS prediction
-      FROM (SELECT {window_s(10)} AS window_s, tag, sum(tokens) AS tokens, max(longest) AS longest
+      FROM (SELECT {window_s(10)} AS window_s, tag, CAST(sum(tokens) AS BIGINT) AS tokens, max(longest) AS longest
             FROM dt JOIN tok_stats USING (tweet_id) GROUP BY 1, 2), model
       WHERE {closed(10).format(posts='docs')}"""),
     "stream_online_regression": sql(

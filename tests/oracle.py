@@ -36,6 +36,13 @@ def spark_rows(df):
     return sorted(df.columns), rows(df.columns, df.collect())
 
 
+def sql_types(db, sql):
+    """Column types by the names that Spark has for them."""
+    result = db.sql(sql)
+    names = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
+    return {c: names.get(str(t), str(t)) for c, t in zip(result.columns, result.types)}
+
+
 def sql_rows(db, sql):
     result = db.execute(sql)
     names = [c[0] for c in result.description]

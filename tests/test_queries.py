@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_point
-from oracle import database, spark_rows, sql_rows
+from oracle import database, spark_rows, sql_rows, sql_types
 
 QUERIES = entry_point.queries()
 
@@ -18,8 +18,11 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, name):
-    names, rows = spark_rows(QUERIES[name](spark, sf_dir))
-    expected_names, expected = sql_rows(database(sf_dir), entry_point.oracle_sql()[name])
+    db, sql = database(sf_dir), entry_point.oracle_sql()[name]
+    df = QUERIES[name](spark, sf_dir)
+    names, rows = spark_rows(df)
+    expected_names, expected = sql_rows(db, sql)
+    assert dict(df.dtypes) == sql_types(db, sql)
     assert names == expected_names
     assert rows == expected
     assert rows
