@@ -5,11 +5,14 @@ import pytest
 import __spark_entry__ as entry_point
 from oracle import database, spark_rows, sql_rows, sql_types
 
-QUERIES = entry_point.queries()
+from tagpulse.plans.oracles import ORACLES
+from tagpulse.plans.queries import QUERIES
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
