@@ -2,8 +2,9 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagpulse.llm import packing
+from tagpulse.llm import packing, simhash
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -23,3 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_packing(spark, sf_dir) -> DataFrame:
     """Every document in sequences of at most 2,048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=1)
+
+
+@query
+def op4_simhash(spark, sf_dir) -> DataFrame:
+    """SimHash of every document, and the component of fingerprints at most four bits apart."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, seed=42, distance=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
