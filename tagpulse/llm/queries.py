@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import packing, simhash
+from tagpulse.llm import packing, simhash, substrings
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -31,3 +31,10 @@ def op4_simhash(spark, sf_dir) -> DataFrame:
     """SimHash of every document, and the component of fingerprints at most four bits apart."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, seed=42, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_substring_dedup(spark, sf_dir) -> DataFrame:
+    """Windows of 13 words that a document with a smaller id has too, removed from every document."""
+    found = substrings.remove_repeated(table(spark, sf_dir, "documents"), width=13)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
