@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import packing, simhash, substrings
+from tagpulse.llm import licenses, packing, simhash, substrings
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -38,3 +38,9 @@ def op7_substring_dedup(spark, sf_dir) -> DataFrame:
     """Windows of 13 words that a document with a smaller id has too, removed from every document."""
     found = substrings.remove_repeated(table(spark, sf_dir, "documents"), width=13)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op9_license_scan(spark, sf_dir) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
