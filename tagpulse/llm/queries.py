@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import licenses, packing, simhash, substrings
+from tagpulse.llm import licenses, packing, simhash, sketches, substrings
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -40,6 +40,12 @@ def op7_substring_dedup(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op8_document_fingerprints(spark, sf_dir) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how near they are."""
+    return sketches.compare_edited(table(spark, sf_dir, "documents")).drop("sketch", "edited_sketch")
+
+
 @query
 def op9_license_scan(spark, sf_dir) -> DataFrame:
     """License phrases and notices in every document."""
