@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import licenses, packing, simhash, sketches, substrings
+from tagpulse.llm import licenses, packing, secret_scan, simhash, sketches, substrings
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -33,6 +33,12 @@ def op4_simhash(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op6_secret_scan(spark, sf_dir) -> DataFrame:
+    """Secrets in every document: patterns, and tokens that look random."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_substring_dedup(spark, sf_dir) -> DataFrame:
     """Windows of 13 words that a document with a smaller id has too, removed from every document."""
