@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import licenses, packing, secret_scan, simhash, sketches, substrings
+from tagpulse.llm import licenses, packing, secret_scan, simhash, sketches, substrings, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -56,3 +56,12 @@ def op8_document_fingerprints(spark, sf_dir) -> DataFrame:
 def op9_license_scan(spark, sf_dir) -> DataFrame:
     """License phrases and notices in every document."""
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op10_toxicity(spark, sf_dir) -> DataFrame:
+    """How toxic every document is, learned from the labelled ones outside fold 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id")) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
