@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import licenses, packing, secret_scan, simhash, sketches, substrings, toxicity
+from tagpulse.llm import licenses, main_text, packing, secret_scan, simhash, sketches, substrings, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -26,6 +26,12 @@ def op1_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=1)
 
 
+@query
+def op3_html_extraction(spark, sf_dir) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_simhash(spark, sf_dir) -> DataFrame:
     """SimHash of every document, and the component of fingerprints at most four bits apart."""
