@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)  # of the polynomial; any odd number with mixed bits will do
@@ -48,20 +48,33 @@ def unpack_arrays(data: bytes) -> list[np.ndarray]:
     return arrays
 
 
-MARKS = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("data", pa.binary())])
-WINDOWS = pa.schema([("bucket", pa.int32()), *MARKS])
+MARKS = pa.schema([("bucket", pa.int32()), ("marks", pa.binary())])
+WINDOWS = pa.schema([*MARKS, ("windows", pa.binary())])
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
-def _marks(ids: np.ndarray, tags: np.ndarray, position: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """Positions per document, packed; they come sorted by document."""
-    if not len(ids):
-        return []
-    starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
-    return [(int(ids[a]), int(tags[a]), pack_arrays(position[a:b])) for a, b in zip(starts, np.r_[starts[1:], len(ids)])]
+def task_of(doc_id: Column, tag: Column, tasks: int) -> Column:
+    """The task that gets the texts of a document."""
+    return F.pmod(F.xxhash64(doc_id, tag), F.lit(tasks)).cast("int")
+
+
+def _marks(ids: np.ndarray, tags: np.ndarray, position: np.ndarray, tasks: int) -> list[tuple[int, bytes]]:
+    """Places of repeated windows, in one row for each task that gets the texts: the same tasks as task_of's."""
+    documents, which = np.unique(np.column_stack([ids, tags]), axis=0, return_inverse=True)
+    digest = xxhash.xxh64_intdigest
+    octets = documents.astype("<i8").tobytes()
+    at = range(0, len(octets), 16)
+    hashed = np.array([digest(octets[k + 8:k + 16], digest(octets[k:k + 8], 42)) for k in at], np.uint64).view(np.int64)
+    task = (hashed % tasks)[which.ravel()]
+    order = np.argsort(task, kind="stable")
+    rows = []
+    for t, a, b in _runs(task[order]):
+        mine = order[a:b]
+        rows.append((int(t), pack_arrays(ids[mine].view(np.uint64), tags[mine].view(np.uint64), position[mine])))
+    return rows
 
 
 def _runs(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -88,8 +101,7 @@ def _hash_blocks(width: int, buckets: int):
         first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
         repeated = np.zeros(len(hashes), bool)
         repeated[order] = ids[document[order]] > ids[document[order[first]]]
-        marks = _marks(ids[document[repeated]], tags[document[repeated]], position[repeated])
-        out = [(i % buckets, i, t, data) for i, t, data in marks]
+        out = [(t, data, None) for t, data in _marks(ids[document[repeated]], tags[document[repeated]], position[repeated], buckets)]
         # what is left goes to its hash's bucket; the top bits choose, as the rest tells windows apart there
         left = np.flatnonzero(~repeated)
         bucket = ((hashes[left] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -106,7 +118,7 @@ def _hash_blocks(width: int, buckets: int):
             arrays = [hashes[mine], steps, lengths, shift[:1], np.diff(shift)]
             if tags.any():
                 arrays.append(tags[here].astype(np.uint64))
-            out.append((int(b), None, None, pack_arrays(*arrays)))
+            out.append((int(b), None, pack_arrays(*arrays)))
         return _batch(out, WINDOWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,49 +138,55 @@ def _hash_blocks(width: int, buckets: int):
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeated(tasks: int):
     """From all windows of some buckets, the places of those that a smaller document has too."""
-    hashes, ids, tags, position = [], [], [], []
-    for batch in batches:
-        done = pc.is_valid(batch.column("tag"))
-        yield batch.select(MARKS.names).filter(done)
-        for data in batch.column("data").filter(pc.invert(done)).to_pylist():
-            own, steps, lengths, first, diffs, *tag = unpack_arrays(data)
-            lengths = lengths.astype(np.int64)
-            document = np.cumsum(np.r_[first, diffs], dtype=np.uint64) ^ np.uint64(1 << 63)
-            starts = np.cumsum(lengths) - lengths
-            total = np.cumsum(steps.astype(np.int64))
-            before = total[starts] - steps[starts].astype(np.int64)
-            hashes.append(own)
-            position.append(total - np.repeat(before, lengths))
-            ids.append(np.repeat(document.view(np.int64), lengths))
-            tags.append(np.repeat(tag[0].view(np.int64), lengths) if tag else np.zeros(len(own), np.int64))
-    if not hashes:
-        return
-    hashes, ids, tags, position = map(np.concatenate, (hashes, ids, tags, position))
-    order = np.argsort(hashes)
-    new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
-    smallest = np.minimum.reduceat(ids[order], np.flatnonzero(new))
-    mine = order[ids[order] > smallest[np.cumsum(new) - 1]]
-    mine = mine[np.lexsort((position[mine], tags[mine], ids[mine]))]
-    yield _batch(_marks(ids[mine], tags[mine], position[mine]), MARKS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, ids, tags, position = [], [], [], []
+        for batch in batches:
+            done = pc.is_valid(batch.column("marks"))
+            yield batch.select(MARKS.names).filter(done)
+            for data in batch.column("windows").filter(pc.invert(done)).to_pylist():
+                own, steps, lengths, first, diffs, *tag = unpack_arrays(data)
+                lengths = lengths.astype(np.int64)
+                document = np.cumsum(np.r_[first, diffs], dtype=np.uint64) ^ np.uint64(1 << 63)
+                starts = np.cumsum(lengths) - lengths
+                total = np.cumsum(steps.astype(np.int64))
+                before = total[starts] - steps[starts].astype(np.int64)
+                hashes.append(own)
+                position.append(total - np.repeat(before, lengths))
+                ids.append(np.repeat(document.view(np.int64), lengths))
+                tags.append(np.repeat(tag[0].view(np.int64), lengths) if tag else np.zeros(len(own), np.int64))
+        if not hashes:
+            return
+        hashes, ids, tags, position = map(np.concatenate, (hashes, ids, tags, position))
+        order = np.argsort(hashes)
+        new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
+        smallest = np.minimum.reduceat(ids[order], np.flatnonzero(new))
+        mine = order[ids[order] > smallest[np.cumsum(new) - 1]]
+        yield _batch(_marks(ids[mine], tags[mine], position[mine], tasks), MARKS)
+
+    return run
 
 
 def _cut(width: int, keep_text: bool):
-    """Applies the marks of a document, which come ahead of its texts, to each of these."""
+    """Applies the marks of a task, which come ahead of its texts, to each of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, marks = None, []
+        packed, ids, tags, position = [], None, None, None
         for batch in batches:
             out = []
-            for doc_id, tag, data, text in zip(*[batch.column(k).to_pylist() for k in range(2)], *batch.columns[2:]):
-                if (doc_id, tag) != key:
-                    key, marks = (doc_id, tag), []
-                if data.is_valid:
-                    marks.append(unpack_arrays(data.as_py())[0])
+            for doc_id, tag, marks, text in zip(*[batch.column(k).to_pylist() for k in range(2)], *batch.columns[2:]):
+                if marks.is_valid:
+                    packed.append(unpack_arrays(marks.as_py()))
                     continue
+                if ids is None:
+                    ids, tags, position = [np.concatenate([np.empty(0, np.uint64), *c]) for c in (zip(*packed) if packed else [()] * 3)]
+                    order = np.argsort(ids.view(np.int64), kind="stable")
+                    ids, tags, position = ids.view(np.int64)[order], tags.view(np.int64)[order], position[order]
                 words = (text.as_py() or b"").split()
-                spans, kept = removal(words, np.concatenate(marks) if marks else np.empty(0, np.uint64), width)
+                own = slice(*np.searchsorted(ids, [doc_id, doc_id + 1])) if doc_id < NO_ID else slice(np.searchsorted(ids, doc_id), None)
+                spans, kept = removal(words, position[own][tags[own] == tag], width)
                 line = b" ".join(kept)
                 out.append((doc_id, len(words), len(words) - len(kept), hashlib.sha256(line).hexdigest(), spans)
                            + ((line,) if keep_text else ()))
@@ -220,11 +238,14 @@ def remove_repeated(docs: DataFrame, width: int = 13, keep_text: bool = False) -
     unique = keyed and docs.where("doc_id is null").isEmpty()
     tag = F.lit(0).cast("long") if unique else F.xxhash64("text")
     tagged = docs.select("doc_id", tag.alias("tag"), "text")
-    windows = tagged.mapInArrow(_hash_blocks(width, tasks), "bucket int, doc_id long, tag long, data binary")
-    marks = windows.repartitionById(tasks, "bucket").mapInArrow(_repeated, "doc_id long, tag long, data binary")
-    texts = tagged.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "tag", F.lit(None).cast("binary").alias("data"), "text")
-    both = marks.withColumn("text", F.lit(None).cast("binary")).unionByName(texts)
-    dealt = both.repartition(tasks, "doc_id").sortWithinPartitions("doc_id", "tag", F.col("data").isNull())
+    windows = tagged.mapInArrow(_hash_blocks(width, tasks), "bucket int, marks binary, windows binary")
+    marks = windows.repartitionById(tasks, "bucket").mapInArrow(_repeated(tasks), "bucket int, marks binary")
+    key = F.coalesce("doc_id", F.lit(NO_ID))
+    none = F.lit(None).cast("binary")
+    texts = tagged.select(task_of(key, F.col("tag"), tasks).alias("bucket"), key.alias("doc_id"), "tag", none.alias("marks"), "text")
+    both = texts.unionByName(marks.withColumns({"doc_id": F.lit(0).cast("long"), "tag": F.lit(0).cast("long"), "text": none}))
+    dealt = both.repartitionById(tasks, "bucket").sortWithinPartitions(F.col("marks").isNull())
+    dealt = dealt.select("doc_id", "tag", "marks", "text")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<array<long>>"
     cut = dealt.mapInArrow(_cut(width, keep_text), schema + (", kept binary" if keep_text else ""))
     cut = cut.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
