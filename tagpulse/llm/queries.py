@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import licenses, main_text, packing, secret_scan, simhash, sketches, substrings, toxicity
+from tagpulse.llm import licenses, main_text, neighbours, packing, secret_scan, simhash, sketches, substrings, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -26,6 +26,12 @@ def op1_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=1)
 
 
+@query
+def op2_nearest_neighbours(spark, sf_dir) -> DataFrame:
+    """The 20 nearest vectors found to every twentieth, by inner product."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query
 def op3_html_extraction(spark, sf_dir) -> DataFrame:
     """The main text of every page."""
