@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import licenses, main_text, neighbours, packing, secret_scan, simhash, sketches, substrings, toxicity
+from tagpulse.llm import licenses, main_text, mixing, neighbours, packing, secret_scan, simhash, sketches, substrings, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
@@ -45,6 +45,13 @@ def op4_simhash(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_mixing(spark, sf_dir) -> DataFrame:
+    """When each document is read, with the sources as even as reading none over twice allows."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.schedule(docs, mixing.Mixture(repeats=2.0)).drop("text_key", "copy")
+
+
 @query
 def op6_secret_scan(spark, sf_dir) -> DataFrame:
     """Secrets in every document: patterns, and tokens that look random."""
