@@ -161,20 +161,26 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 20_000, lexicon_size:
     return Scorer(learned[2], fit_boosted(x, y), fit_isotonic(apart, y))
 
 
-def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
-    """`docs` (`doc_id`, `text` and others) with score and predicted (1 from `threshold` on), of whole texts.
+def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """`docs` (`text` and others) with two columns more, by default score and predicted (1 from `threshold` on), of whole texts.
 
     The score is a function of the text alone; a NULL text is an empty one. All rows and other columns are kept, and columns
     of these names replaced; an empty table gives no rows.
     """
-    docs = docs.drop("score", "predicted")
+    docs = docs.drop(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             chance = scorer(texts)
             columns = [*batch.columns, pa.array(chance, pa.float64()), pa.array((chance >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
 
-    added = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
+    added = [StructField(names[0], DoubleType()), StructField(names[1], IntegerType())]
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
+
+
+def reject(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
+    """The rows of `docs` that are not predicted toxic, unchanged."""
+    names = ("_toxic_score", "_toxic")
+    return score(docs, scorer, threshold, names).where("_toxic = 0").select(*docs.columns)
