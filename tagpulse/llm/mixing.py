@@ -149,10 +149,11 @@ def schedule(docs: DataFrame, aim: Mixture = Mixture()) -> DataFrame:
 
 def mix(docs: DataFrame, aim: Mixture = Mixture()) -> DataFrame:
     """`docs` as `schedule` has it read: its rows, repeated or left out, in the order of the blocks within partitions."""
-    copy = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy("source"))
-    rows = docs.withColumn("_key", F.xxhash64("text")).withColumn("_copy", copy)
-    plan = schedule(docs, aim).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_of"), F.col("copy").alias("_nth"), "block", "place")
-    plan = plan.withColumnsRenamed({"block": "_block", "place": "_place"})
-    met = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of")) & (F.col("_copy") == F.col("_nth"))
-    both = rows.join(plan, met).repartition("_block").sortWithinPartitions("_block", "_place")
-    return both.select(*docs.columns)
+    rows = docs.select(  # whole rows in one column, so that none of theirs clashes with another
+        F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"),
+        F.col("source").cast("string").alias("of"))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("id", "key").orderBy("of"))).drop("of")
+    plan = schedule(docs, aim).select("doc_id", "text_key", "copy", "block", "place")
+    met = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")) & (F.col("nth") == F.col("copy"))
+    both = rows.join(plan, met).select("doc", "block", "place")
+    return both.repartition("block").sortWithinPartitions("block", "place").select("doc.*")

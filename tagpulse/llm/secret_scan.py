@@ -176,14 +176,16 @@ def redact(docs: DataFrame, rate: float = 0.05, mark: str = "[SECRET]") -> DataF
     Secrets meet the documents by a hash of the text, so a NULL doc_id or a repeated row changes nothing. All rows and other
     columns stay as they are.
     """
-    key = F.xxhash64("text")
-    found = secrets(docs.select(F.monotonically_increasing_id().alias("row"), key.alias("text_key"), "text"), rate)
+    key = F.xxhash64("text").alias("text_key")
+    found = secrets(docs.select(F.monotonically_increasing_id().alias("row"), key, "text"), rate)
     longest_first = lambda a, b: F.char_length(b) - F.char_length(a)
     listed = (
-        found.where("kind >= 0").groupBy("text_key").agg(F.collect_set("match").alias("secret_matches"))
-        .withColumn("secret_matches", F.array_sort("secret_matches", longest_first)))
-    clean = F.aggregate("secret_matches", F.col("text"), lambda text, match: F.replace(text, match, F.lit(mark)))
-    joined = docs.join(listed, key == F.col("text_key"), "left").withColumn("text", F.coalesce(clean, "text"))
+        found.where("kind >= 0").groupBy("text_key").agg(F.collect_set("match").alias("matches"))
+        .withColumn("matches", F.array_sort("matches", longest_first)))
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), key)  # so that no column of docs clashes with another
+    clean = F.aggregate("matches", F.col("doc.text"), lambda text, match: F.replace(text, match, F.lit(mark)))
+    doc = F.col("doc").withField("text", clean)
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("text_key").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
-    return joined.select(*docs.columns)
+        doc = doc.withField("n_chars", F.char_length(clean).cast(docs.schema["n_chars"].dataType))
+    joined = whole.join(listed, "text_key", "left")
+    return joined.select(F.when(F.col("matches").isNull(), F.col("doc")).otherwise(doc).alias("doc")).select("doc.*")

@@ -182,5 +182,6 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.3, names: tuple[
 
 def reject(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
     """The rows of `docs` that are not predicted toxic, unchanged."""
-    names = ("_toxic_score", "_toxic")
-    return score(docs, scorer, threshold, names).where("_toxic = 0").select(*docs.columns)
+    free = "_" * max(len(c) for c in docs.columns)
+    names = (f"{free}score", f"{free}toxic")
+    return score(docs, scorer, threshold, names).where(F.col(names[1]) == 0).select(*docs.columns)

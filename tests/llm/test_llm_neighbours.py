@@ -1,0 +1,109 @@
+import math
+import random
+
+import numpy as np
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from tagpulse.llm.neighbours import bucket_numbers, expected_distance, probes, search
+from tagpulse.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, asks, k):
+    out = {}
+    for i, q in rows:
+        if asks(i):
+            scores = []
+            for j, x in rows:
+                if j != i:
+                    s = 0.0
+                    for a, b in zip(q, x):
+                        s += a * b
+                    scores.append((-s, j))
+            out[i] = [(j, -s) for s, j in sorted(scores)[:k]]
+    return out
+
+
+def lists(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r.rank)):
+        assert r.rank == len(out.setdefault(r.query_id, [])) + 1
+        out[r.query_id].append((r.vec_id, r.score))
+    return out
+
+
+def vectors(n, d, seed, start=0):
+    r = random.Random(seed)
+    return [(start + k, [float(np.float32(r.gauss(0, 1) * (1 + k % 3))) for _ in range(d)]) for k in range(n)]
+
+
+def test_nearly_all_are_found(spark):
+    for sf, least in (("sf0.01", 0.9), ("sf0.1", 0.9)):
+        folder = f"/root/testdata/{sf}"
+        found = lists(QUERIES["op2_nearest_neighbours"](spark, folder))
+        t = pq.read_table(f"{folder}/embeddings.parquet")
+        x, ids = np.array(t["embedding"].to_pylist(), np.float64), t["vec_id"].to_numpy()
+        share = []
+        for row in np.flatnonzero(ids % 20 == 0):
+            s = x @ x[row]
+            s[row] = -np.inf
+            best = set(ids[np.lexsort((ids, -s))[:20]].tolist())
+            share.append(len(best & {v for v, _ in found[int(ids[row])]}) / 20)
+        assert set(found) == set(ids[ids % 20 == 0].tolist())
+        assert np.mean(share) >= least
+
+
+def test_exact_when_all_is_visited(spark):
+    rows = vectors(300, 5, 1)
+    found = lists(search(spark.createDataFrame(rows, SCHEMA), F.expr("vec_id % 20 = 0"), k=7, recall=1 - 1e-12, cell_rows=50))
+    assert found == brute(rows, lambda i: i % 20 == 0, 7)
+
+
+def test_a_hot_vector_and_ties_go_to_smaller_ids(spark):
+    hot = [0.5, 0.25, -1.0, 2.0]
+    rows = [(k, hot) for k in range(100, 400)] + vectors(60, 4, 3, 1000) + [(k, [1.0, 0, 0, 0]) for k in range(2000, 2040)]
+    rows = [(i, [float(v) for v in x]) for i, x in rows]
+    found = lists(search(spark.createDataFrame(rows, SCHEMA), F.expr("vec_id % 20 = 0"), k=20, recall=1 - 1e-12))
+    assert found == brute(rows, lambda i: i % 20 == 0, 20)
+
+
+def test_ties_between_different_vectors(spark):
+    rows = [(k, [1.0 if j == k % 30 else 0.0 for j in range(30)]) for k in range(90)]
+    found = lists(search(spark.createDataFrame(rows, SCHEMA), F.expr("vec_id % 20 = 0"), k=10, recall=1 - 1e-12, functions=3))
+    assert found == brute(rows, lambda i: i % 20 == 0, 10)
+
+
+def test_odd_vectors_take_no_part(spark):
+    rows = vectors(50, 4, 5)
+    odd = [(100, None), (120, [0.0] * 4), (140, [1.0, None, 0.0, 0.0]), (160, [math.nan, 1.0, 1.0, 1.0]), (180, [math.inf, 1.0, 1.0, 1.0]),
+           (200, [1.0, 1.0]), (None, [1.0] * 4), (220, [])]
+    df = spark.createDataFrame(rows + odd + rows[:3], SCHEMA).withColumns({c: F.lit("x") for c in ("point", "vector", "bucket", "first", "score", "rank")})
+    assert lists(search(df, F.expr("vec_id % 20 = 0"), k=5, recall=1 - 1e-12)) == brute(rows, lambda i: i % 20 == 0, 5)
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    rows = vectors(4, 3, 7)
+    found = lists(search(spark.createDataFrame(rows, SCHEMA), F.expr("vec_id % 20 = 0"), k=20))
+    assert found == brute(rows, lambda i: i % 20 == 0, 20) and len(found[0]) == 3
+    assert lists(search(spark.createDataFrame(rows[:1], SCHEMA), F.expr("vec_id % 20 = 0"))) == {}
+    assert lists(search(spark.createDataFrame([], SCHEMA), F.expr("vec_id % 20 = 0"))) == {}
+
+
+def test_probes_come_in_order_and_reach_the_chance():
+    place = np.array([[0.1, 5.9], [2.5, -3.5]])
+    home = bucket_numbers(np.floor(place))
+    few, more = probes(place, 1.0, 1.5, 0.2), probes(place, 1.0, 1.5, 0.95)
+    for q in range(2):
+        assert set(few[q]) <= set(more[q]) and len(few[q]) < len(more[q]) and home[q] in more[q]
+    near_edges = bucket_numbers(np.array([[-1.0, 5.0], [0.0, 6.0]]))  # 0.1 below and above
+    assert set(near_edges) <= set(more[0])
+
+
+def test_expected_distance():
+    x = np.random.default_rng(1).normal(size=(1000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.sort(x @ x.T, axis=1)[:, -21]
+    assert abs(expected_distance(x, 1.0, 1000, 20) - np.quantile(np.sqrt(2 - 2 * near), 0.9)) < 0.05
+    assert expected_distance(x[:1], 1.0, 1, 20) == 1.0

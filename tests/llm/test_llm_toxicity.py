@@ -1,0 +1,103 @@
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from llm_data import documents, odd_rows
+from pyspark.sql import functions as F
+
+from tagpulse.llm import toxicity
+from tagpulse.llm.boosting import fit_boosted, fit_isotonic
+from tagpulse.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.1"
+
+
+def area_under_curve(score, y):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(order))
+    rank[order] = np.arange(1, len(order) + 1)
+    for s in np.unique(score):
+        rank[score == s] = rank[score == s].mean()
+    return (rank[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
+
+
+@pytest.fixture(scope="module")
+def scorer(spark):
+    return toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+
+
+def test_held_out_documents(spark):
+    rows = QUERIES["op10_toxicity"](spark, SF).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+    labels = dict(duckdb.sql(f"select doc_id, toxic from '{SF}/labels.parquet'").fetchall())
+    found = [(r.score, labels[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in labels]
+    score, y, predicted = map(np.array, zip(*found))
+    assert area_under_curve(score, y) > 0.97
+    assert y[predicted == 1].mean() > 0.85 and predicted[y == 1].mean() > 0.8
+    assert np.mean((score - y) ** 2) < 0.03  # calibrated
+
+
+def test_only_the_text_counts(spark, scorer):
+    docs = documents(spark)
+    rows = toxicity.score(docs, scorer).collect()
+    assert len(rows) == docs.count() and set(rows[0].asDict()) == set(docs.columns)  # score and predicted took the place of others
+    by_text = {}
+    for r in rows:
+        assert by_text.setdefault(r.text or "", r.score) == r.score
+    assert toxicity.score(documents(spark, []), scorer).collect() == []
+
+
+def test_rejection_keeps_columns_and_clean_documents(spark, scorer):
+    docs = documents(spark)
+    kept = toxicity.reject(docs, scorer)
+    assert kept.columns == docs.columns and kept.count() == len(odd_rows())
+    assert all(r.score == "x" for r in kept.collect())
+    insult = "you are a stupid, pathetic loser. idiot! what trash, you clown. moron, worthless scum."
+    assert toxicity.reject(documents(spark, [(1, insult, None, None, None)]), scorer).count() == 0
+
+
+def test_labels_of_fold_two_are_never_read(spark):
+    docs = spark.createDataFrame([(k, f"vile{k % 2} text number {k}") for k in range(400)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    flipped = labels.withColumn("toxic", F.when(toxicity.fold(F.col("doc_id")) == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, two = toxicity.train(docs, labels), toxicity.train(docs, flipped)
+    texts = [f"vile{k % 2} text" for k in range(4)] + [""]
+    assert one(texts).tolist() == two(texts).tolist()
+
+
+@pytest.mark.parametrize("rows", [[], [(1, 0), (5, 0)], [(None, 1), (7, None), (9, 3)]])
+def test_few_or_no_labels(spark, rows):
+    docs = documents(spark)
+    found = toxicity.score(docs, toxicity.train(docs, spark.createDataFrame(rows, "doc_id long, toxic int"))).collect()
+    assert len({r.score for r in found}) == 1 and found[0].score < 0.5
+
+
+def test_features():
+    lexicon = {"stupid$": 0.9, "idio": 0.8}
+    zero = toxicity.features("", lexicon)
+    assert zero == [0] * len(toxicity.FEATURES)
+    f = dict(zip(toxicity.FEATURES, toxicity.features("You STUPID idiots!! st0p, s t u p i d stup1d", lexicon)))
+    assert f["hits"] == 2 and f["distinct"] == 2 and f["strongest"] == 0.9
+    assert f["near_second_person"] > 0 and f["disguised_hits"] == 1 and f["spaced_hits"] == 1
+    assert f["capitals"] > 0 and f["marks"] > 0
+
+
+def test_boosting_learns_an_interaction():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(2000, 4))
+    y = ((x[:, 0] > 0) != (x[:, 1] > 0.5)).astype(float)
+    model = fit_boosted(x[:1500], y[:1500])
+    assert ((model(x[1500:]) > 0) == y[1500:]).mean() > 0.95
+    assert fit_boosted(x[:0], y[:0])(x[:3]).tolist() == [0, 0, 0]
+
+
+def test_calibration_rises_and_fits():
+    rng = np.random.default_rng(2)
+    score = rng.normal(size=5000)
+    y = (rng.uniform(size=5000) < 1 / (1 + np.exp(-3 * score))).astype(float)
+    knots = fit_isotonic(score, y)
+    assert np.all(np.diff(knots[1]) >= 0)
+    at = np.linspace(-1.5, 1.5, 7)
+    assert np.abs(np.interp(at, *knots) - 1 / (1 + np.exp(-3 * at))).max() < 0.1
