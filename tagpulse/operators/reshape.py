@@ -17,14 +17,23 @@ def series_lines(means: DataFrame) -> DataFrame:
     return means.select(F.concat(F.lit("("), fields, F.lit(")")).alias("value"))
 
 
-def parse_series(lines: DataFrame) -> DataFrame:
-    """(tag, avg_words, posts, ms) of recorded lines; quotes and brackets are dropped, and so are
-    lines without a mean or a time."""
+def _series_fields(lines: DataFrame) -> DataFrame:
     fields = F.split(F.regexp_replace("value", '["()]', ""), ",")
     return lines.select(
-        F.get(fields, 0).alias("tag"), F.get(fields, 1).try_cast("double").alias("avg_words"),
-        F.get(fields, 2).try_cast("long").alias("posts"), F.get(fields, 3).try_cast("long").alias("ms"),
-    ).where("avg_words is not null and ms is not null")
+        "value", F.get(fields, 0).alias("tag"), F.get(fields, 1).try_cast("double").alias("avg_words"),
+        F.get(fields, 2).try_cast("long").alias("posts"), F.get(fields, 3).try_cast("long").alias("ms"))
+
+
+def parse_series(lines: DataFrame) -> DataFrame:
+    """(tag, avg_words, posts, ms) of recorded lines; quotes and brackets are dropped. Lines without a mean or a time are left
+    out here and found by `bad_series_lines`."""
+    return _series_fields(lines).where("avg_words is not null and ms is not null").drop("value")
+
+
+def bad_series_lines(lines: DataFrame) -> DataFrame:
+    """The lines that `parse_series` left out, to be written beside its result; blank lines say nothing."""
+    bad = _series_fields(lines).where("avg_words is null or ms is null")
+    return bad.where(F.col("value").rlike(r"\S")).select("value")
 
 
 def series_points(points: DataFrame, ranges=None) -> DataFrame:
@@ -67,13 +76,12 @@ def fares(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
         "row_no", *[f"c{n}" for n in (1, 2, 4, 5, 9, 10, 11)])
 
 
-def trips(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
-    """A START and an END row per ride, sharing its row number, and their place by time.
+def trip_events(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
+    """A START and an END row per ride, sharing its row number.
 
     START carries the start time (field 6) and no other time, END the end time (field 7) and
     the start time; both carry fields 11-14, 8, 1, 2. Times are typed, so the order is that of
-    time in every locale; a field that is no time gives NULL and sorts first. The rows come out
-    in that order.
+    time in every locale; a field that is no time gives NULL and sorts first.
     """
     rest = ["c11", "c12", "c13", "c14", "c8", "c1", "c2"]
     picked = rows.select(*order, *[_field(n).alias(f"c{n}") for n in (1, 2, 6, 7, 8, 11, 12, 13, 14)])
@@ -81,9 +89,21 @@ def trips(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
     time = lambda text: text.try_cast("timestamp_ntz")
     event = lambda kind, at, other: F.struct(F.lit(kind).alias("kind"), time(at).alias("at"), time(other).alias("other"))
     both = F.array(event("START", F.col("c6"), F.lit(NO_TIME)), event("END", F.col("c7"), F.col("c6")))
-    events = rides.select("row_no", F.explode(both).alias("event"), *rest).select(
+    return rides.select("row_no", F.explode(both).alias("event"), *rest).select(
         "row_no", F.col("event.kind").alias("kind"), F.col("event.at").alias("at"), F.col("event.other").alias("other"), *rest)
-    return numbered(events, [], ["at", "other", *rest, "row_no", "kind"], "position", ranges, hold=False)
+
+
+TRIP_ORDER = ["at", "other", "c11", "c12", "c13", "c14", "c8", "c1", "c2", "row_no", "kind"]
+
+
+def trips(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
+    """The rows of `trip_events` sorted by time: one layout for the row numbers, and one sort."""
+    return trip_events(rows, order, ranges).orderBy(*TRIP_ORDER)
+
+
+def place_by_time(events: DataFrame, ranges=None) -> DataFrame:
+    """Adds `position`, the place in the order of `trips`, from 1."""
+    return numbered(events, [], TRIP_ORDER, "position", ranges, hold=False)
 
 
 def as_csv_lines(rows: DataFrame, columns) -> DataFrame:

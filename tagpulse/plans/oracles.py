@@ -172,6 +172,11 @@ COMPARE_USERS = sql(*BOTH_USERS, select=f"""
 COMPARE_TAGS = sql(*BOTH_TAGS, select=f"""
   SELECT country, part, {label(or_none("rec.tags || ';'"), "coalesce(cur.tags, '')")} AS result
   FROM cur FULL JOIN rec USING (country, part) WHERE country IN (SELECT country FROM cur)""")
+# the record is the longer side: events recorded, documents live
+COMPARE_USERS_TURNED = sql(
+    DOC_TAGS, EVENT_TAGS, USER_PARTS.format(name="rec", rows="et"), USER_PARTS.format(name="cur", rows="dt"), select=f"""
+  SELECT tag, part, {label(or_none("rec.users"), "coalesce(cur.users, '')")} AS result
+  FROM cur FULL JOIN rec USING (tag, part) WHERE tag IN (SELECT tag FROM cur)""")
 RAW = "SELECT user_name, text FROM docs"
 
 ORACLES = {
@@ -234,11 +239,17 @@ ORACLES = {
     "compare_users_updates": sql(
         DOC_TAGS, EVENT_TAGS, RUNNING_USERS, USER_STATES, USER_PARTS.format(name="rec", rows="dt"), select=f"""
       SELECT tag, ts_us, tweet_id, tag_pos, part, {label(or_none("rec.users"), "text")} AS result
-      FROM ru JOIN states USING (tag, users) LEFT JOIN rec USING (tag, part)"""),
+      FROM ru JOIN states USING (tag, users) LEFT JOIN rec USING (tag, part)
+      UNION ALL SELECT tag, us, tweet_id, tag_pos, part, {label("rec.users", "''")}
+      FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY {ARRIVAL}) AS nth FROM et) JOIN rec USING (tag)
+      WHERE nth = 1 AND part > 0"""),
     "compare_country_tags_updates": sql(
         DOC_TAGS, EVENT_TAGS, running_country("et"), COUNTRY_PARTS.format(name="rec", rows="dt"), select=f"""
       SELECT country, ts_us, tweet_id, tag_pos, part, {label(or_none("rec.tags || ';'"), "text")} AS result
-      FROM rc LEFT JOIN rec USING (country, part)"""),
+      FROM rc LEFT JOIN rec USING (country, part)
+      UNION ALL SELECT country, us, tweet_id, tag_pos, part, {label("rec.tags || ';'", "''")}
+      FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY {ARRIVAL}) AS nth FROM et WHERE country IS NOT NULL)
+        JOIN rec USING (country) WHERE nth = 1 AND part > 0"""),
     "recorded_result_sizes": sql(DOC_TAGS, select="""
       SELECT 'counts' AS result, count(DISTINCT tag) AS groups FROM dt WHERE lang = 'en' AND length(text) > 0
       UNION ALL SELECT 'users', count(DISTINCT tag) FROM dt
@@ -298,11 +309,16 @@ ORACLES = {
         DOC_TAGS, WORD_CELLS.format(where="WHERE " + closed(60).format(posts="docs")), online("points"),
         select="SELECT window_s, tag, round(y, 6) AS avg_words, round(prediction, 6) AS prediction FROM preds"),
     "stream_compare_tag_count": COMPARE_COUNT,
-    # every list grew in the stream, and only parts that grew are compared
-    "stream_compare_users": sql(*BOTH_USERS, select=f"""
-      SELECT tag, part, {label(or_none("rec.users"), "cur.users")} AS result FROM cur LEFT JOIN rec USING (tag, part)"""),
-    "stream_compare_country_tags": sql(*BOTH_TAGS, select=f"""
-      SELECT country, part, {label(or_none("rec.tags || ';'"), "cur.tags")} AS result
-      FROM cur LEFT JOIN rec USING (country, part)"""),
+    "stream_compare_users": COMPARE_USERS,
+    "stream_compare_country_tags": COMPARE_TAGS,
+    "compare_users_longer_record": COMPARE_USERS_TURNED,
+    "stream_compare_users_longer_record": COMPARE_USERS_TURNED,
+    "compare_users_updates_longer_record": sql(
+        DOC_TAGS, EVENT_TAGS, RUNNING_USERS.replace("FROM et", "FROM dt"), USER_STATES, USER_PARTS.format(name="rec", rows="et"), select=f"""
+      SELECT tag, ts_us, tweet_id, tag_pos, part, {label(or_none("rec.users"), "text")} AS result
+      FROM ru JOIN states USING (tag, users) LEFT JOIN rec USING (tag, part)
+      UNION ALL SELECT tag, us, tweet_id, tag_pos, part, {label("rec.users", "''")}
+      FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY {ARRIVAL}) AS nth FROM dt) JOIN rec USING (tag)
+      WHERE nth = 1 AND part > 0"""),
     "raw_log_copy": sql(DOCS, select=RAW),
 }

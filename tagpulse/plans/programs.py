@@ -15,8 +15,9 @@ from tagpulse.streaming import live
 from tagpulse.streaming.lists import start_lists
 from tagpulse.streaming.online import start_online_regression
 
-# fixed values: the tags that the programs with a filter look for
+# fixed values: the tags that the programs with a filter look for, and those that the longest-word programs look for
 COUNTRY_TAGS = ["germany", "russia", "usa", "japan", "china"]
+MUSIC_TAGS = ["exo", "baekhyun", "wasteitonme", "tempo_baekhyun", "bts"]
 # fixed values: the keywords of the scratch filter
 SPORT_KEYWORDS = ["nfl", "sports", "nbl", "nba"]
 # pace of the live comparisons
@@ -33,7 +34,7 @@ def users_per_tag(lines: DataFrame, part_size=agg.PART) -> DataFrame:
     return agg.users_per_tag(views.tag_user(parse_tweets(lines)), part_size)
 
 
-def longest_words(lines: DataFrame, tags=COUNTRY_TAGS) -> DataFrame:
+def longest_words(lines: DataFrame, tags=MUSIC_TAGS) -> DataFrame:
     return agg.longest_words(agg.longest_word_rows(parse_tweets(lines), tags))
 
 
@@ -66,7 +67,7 @@ def live_window_mean_words(lines: DataFrame, width="60 minutes", tags=None) -> D
     return live.window_mean_words(parse_tweets(lines), width, tags)
 
 
-def live_longest_words(lines: DataFrame, width="20 seconds", tags=COUNTRY_TAGS) -> DataFrame:
+def live_longest_words(lines: DataFrame, width="20 seconds", tags=MUSIC_TAGS) -> DataFrame:
     return live.longest_words(parse_tweets(lines), width, tags)
 
 

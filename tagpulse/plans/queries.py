@@ -12,7 +12,7 @@ from tagpulse.operators import compare, regression, reshape, running, views
 from tagpulse.schema import ARRIVAL
 from tagpulse.session import checkpointed, fresh_folder
 from tagpulse.sources.posts import parse_tweets, to_lines
-from tagpulse.sources.sinks import copy_log, latest_updates, to_files, to_updates
+from tagpulse.sources.sinks import ONCE, copy_log, latest_updates, to_files, to_updates
 from tagpulse.sources.tables import from_documents, from_events, spread, stream_table, table
 from tagpulse.streaming import live
 from tagpulse.streaming.lists import read_compared, read_lists, start_lists
@@ -233,6 +233,22 @@ def compare_country_tags_updates(spark, sf_dir):
         views.country_tag(events(spark, sf_dir, places=True)), COUNTRY_PART))
 
 
+# the other way round: here the recorded lists are the longer ones
+
+@query
+def compare_users_longer_record(spark, sf_dir):
+    return compare.compare_users(
+        agg.users_per_tag(views.tag_user(events(spark, sf_dir)), USER_PART),
+        agg.users_per_tag(views.tag_user(docs(spark, sf_dir)), USER_PART))
+
+
+@query
+def compare_users_updates_longer_record(spark, sf_dir):
+    return plain(compare.compare_user_updates(
+        agg.users_per_tag(views.tag_user(events(spark, sf_dir)), USER_PART),
+        views.tag_user(docs(spark, sf_dir)), USER_PART))
+
+
 @query
 def recorded_result_sizes(spark, sf_dir):
     """How many groups each recorded result has."""
@@ -274,7 +290,7 @@ RIDE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
 
 @query
 def start_end_events(spark, sf_dir):
-    rides = reshape.trips(_rides(spark, sf_dir), RIDE_ORDER)
+    rides = reshape.place_by_time(reshape.trip_events(_rides(spark, sf_dir), RIDE_ORDER))
     seconds = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
     return rides.withColumns({"at_s": seconds("at"), "other_s": seconds("other")}).drop("at", "other")
 
@@ -320,7 +336,7 @@ def raw_units(spark, sf_dir):
 @query
 def stream_tag_count(spark, sf_dir):
     out = fresh_folder(spark, "counts")
-    to_updates(live.tag_counts(live_docs(spark, sf_dir)), f"{out}/log", f"{out}/progress").awaitTermination()
+    to_updates(live.tag_counts(live_docs(spark, sf_dir)), f"{out}/log", f"{out}/progress", ONCE).awaitTermination()
     return latest_updates(spark, f"{out}/log", ["tag"])
 
 
@@ -328,7 +344,7 @@ def stream_tag_count(spark, sf_dir):
 def stream_users_per_tag(spark, sf_dir):
     out = fresh_folder(spark, "users")
     rows = live.new_users(live_events(spark, sf_dir))
-    start_lists(rows, "tag", "user_name", out, f"{out}/progress", USER_PART, mode="update").awaitTermination()
+    start_lists(rows, "tag", "user_name", out, f"{out}/progress", USER_PART, mode="update", trigger=ONCE).awaitTermination()
     return read_lists(spark, out, "tag").select("tag", "part", F.array_join("items", ";").alias("users"))
 
 
@@ -336,7 +352,7 @@ def stream_users_per_tag(spark, sf_dir):
 def stream_tags_per_country(spark, sf_dir):
     out = fresh_folder(spark, "countries")
     rows = views.country_tag(live_docs(spark, sf_dir, places=True))
-    start_lists(rows, "country", "tag", out, f"{out}/progress", COUNTRY_PART).awaitTermination()
+    start_lists(rows, "country", "tag", out, f"{out}/progress", COUNTRY_PART, trigger=ONCE).awaitTermination()
     parts = read_lists(spark, out, "country")
     return agg.with_country_prefix(
         parts.select("country", "part", F.concat(F.array_join("items", ";"), F.lit(";")).alias("tags")))
@@ -345,13 +361,13 @@ def stream_tags_per_country(spark, sf_dir):
 @query
 def stream_avg_words(spark, sf_dir):
     out = fresh_folder(spark, "means")
-    to_updates(live.mean_words(live_docs(spark, sf_dir)), f"{out}/log", f"{out}/progress").awaitTermination()
+    to_updates(live.mean_words(live_docs(spark, sf_dir)), f"{out}/log", f"{out}/progress", ONCE).awaitTermination()
     return plain(latest_updates(spark, f"{out}/log", ["tag"]))
 
 
 def _closed(spark, name, windows) -> DataFrame:
     out = fresh_folder(spark, name)
-    to_files(windows, f"{out}/rows", f"{out}/progress").awaitTermination()
+    to_files(windows, f"{out}/rows", f"{out}/progress", trigger=ONCE).awaitTermination()
     return plain(spark.read.schema(windows.schema).parquet(f"{out}/rows"))
 
 
@@ -381,7 +397,7 @@ def stream_regression_scored(spark, sf_dir):
 def stream_online_regression(spark, sf_dir):
     out = fresh_folder(spark, "user-model")
     cells = live.window_users(live_events(spark, sf_dir), "1 hour")
-    start_online_regression(cells, "uses", "users", out, f"{out}/progress").awaitTermination()
+    start_online_regression(cells, "uses", "users", out, f"{out}/progress", trigger=ONCE).awaitTermination()
     return rounded(plain(read_predictions(spark, out)), "prediction")
 
 
@@ -389,7 +405,7 @@ def stream_online_regression(spark, sf_dir):
 def stream_online_regression_words(spark, sf_dir):
     out = fresh_folder(spark, "word-model")
     cells = live.window_mean_words(live_docs(spark, sf_dir), "1 minute")
-    start_online_regression(cells, "posts", "avg_words", out, f"{out}/progress", xy="words").awaitTermination()
+    start_online_regression(cells, "posts", "avg_words", out, f"{out}/progress", xy="words", trigger=ONCE).awaitTermination()
     scored = rounded(plain(read_predictions(spark, out)), "avg_words", "prediction")
     return scored.select("window_s", "tag", "avg_words", "prediction")
 
@@ -399,7 +415,7 @@ def stream_compare_tag_count(spark, sf_dir):
     out = fresh_folder(spark, "compared")
     recorded = checkpointed(agg.tag_counts(views.tag_rows(views.english_with_text(docs(spark, sf_dir)))))
     rows = live.compared_counts(live_events(spark, sf_dir), recorded)
-    to_updates(rows, f"{out}/log", f"{out}/progress").awaitTermination()
+    to_updates(rows, f"{out}/log", f"{out}/progress", ONCE).awaitTermination()
     return latest_updates(spark, f"{out}/log", ["tag"])
 
 
@@ -408,7 +424,16 @@ def stream_compare_users(spark, sf_dir):
     out = fresh_folder(spark, "compared-users")
     recorded = checkpointed(agg.users_per_tag(views.tag_user(docs(spark, sf_dir)), USER_PART))
     rows = live.new_users(live_events(spark, sf_dir))
-    start_lists(rows, "tag", "user_name", out, f"{out}/progress", USER_PART, recorded, "update").awaitTermination()
+    start_lists(rows, "tag", "user_name", out, f"{out}/progress", USER_PART, recorded, "update", ONCE).awaitTermination()
+    return read_compared(spark, out, "tag")
+
+
+@query
+def stream_compare_users_longer_record(spark, sf_dir):
+    out = fresh_folder(spark, "compared-users")
+    recorded = checkpointed(agg.users_per_tag(views.tag_user(events(spark, sf_dir)), USER_PART))
+    rows = live.new_users(live_docs(spark, sf_dir))
+    start_lists(rows, "tag", "user_name", out, f"{out}/progress", USER_PART, recorded, "update", ONCE).awaitTermination()
     return read_compared(spark, out, "tag")
 
 
@@ -417,14 +442,14 @@ def stream_compare_country_tags(spark, sf_dir):
     out = fresh_folder(spark, "compared-countries")
     recorded = checkpointed(agg.tags_per_country(views.country_tag(docs(spark, sf_dir, places=True)), COUNTRY_PART))
     rows = views.country_tag(live_events(spark, sf_dir, places=True))
-    start_lists(rows, "country", "tag", out, f"{out}/progress", COUNTRY_PART, recorded).awaitTermination()
+    start_lists(rows, "country", "tag", out, f"{out}/progress", COUNTRY_PART, recorded, trigger=ONCE).awaitTermination()
     return read_compared(spark, out, "country")
 
 
 @query
 def raw_log_copy(spark, sf_dir):
     out = fresh_folder(spark, "log")
-    copy_log(to_lines(live_docs(spark, sf_dir)), f"{out}/lines", f"{out}/progress").awaitTermination()
+    copy_log(to_lines(live_docs(spark, sf_dir)), f"{out}/lines", f"{out}/progress", ONCE).awaitTermination()
     line = F.col("value")
     return spark.read.text(f"{out}/lines").select(
         F.get_json_object(line, "$.user.name").alias("user_name"), F.get_json_object(line, "$.text").alias("text"))

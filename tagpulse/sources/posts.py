@@ -17,18 +17,33 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def stream_lines(spark: SparkSession, path, files_per_trigger=None) -> DataFrame:
-    """Posts as files of lines appear under `path`; the time is that of processing."""
-    reader = spark.readStream.format("text")
+    """Posts as files of lines appear under `path`. Arrival order: file time, then the file, then place in it.
+
+    A file that has just arrived is read as one row and then cut into lines, so that their places are known and a file's
+    lines stay in order whatever task reads them. Feeds of files too large for a row (2 GB) belong in a queue, whose own order
+    `with_processing_time` takes.
+    """
+    reader = spark.readStream.format("text").option("wholetext", True)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return with_processing_time(reader.load(path))
+    place = F.col("place").cast("long")
+    file = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 30))
+    return (
+        reader.load(path)
+        .select(F.col("_metadata.file_modification_time").alias("ts"), file.alias("file"),
+                F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("place", "value"))
+        .select("value", (F.shiftleft("file", 33) + place).alias("tweet_id"), "ts"))
 
 
-def with_processing_time(lines: DataFrame) -> DataFrame:
-    """For any stream with a `value` column (a message queue's, say) that has no event time."""
+def with_processing_time(lines: DataFrame, order) -> DataFrame:
+    """For any stream with a `value` column (a message queue's, say) that has no event time.
+
+    `order` is a column that numbers the lines in the order of their arrival, each once: a queue's offset, or partition and
+    offset in one number.
+    """
     return lines.select(
         F.col("value").cast("string").alias("value"),
-        F.xxhash64("value").alias("tweet_id"),
+        order.cast("long").alias("tweet_id"),
         F.current_timestamp().alias("ts"),
     )
 

@@ -1,18 +1,24 @@
-"""Where results and streams go. Every stream keeps its progress in a checkpoint folder."""
+"""Where results and streams go. Every stream keeps its progress in a checkpoint folder.
+
+A stream stays on until it is stopped; `trigger=ONCE` ends it when it has read what is there.
+"""
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
+ONCE = {"availableNow": True}
+
+
 def tuple_lines(df: DataFrame) -> DataFrame:
     """Rows as printed tuples: (a,b,c)."""
     fields = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in df.columns])
     return df.select(F.concat(F.lit("("), fields, F.lit(")")).alias("value"))
 
 
-def show(df: DataFrame, rows=20) -> None:
-    """The first rows of a batch result on the console; the result itself stays distributed."""
+def show(df: DataFrame, rows: int) -> None:
+    """A preview of so many rows on the console; the whole result goes to `write_lines` or a table."""
     df.show(rows, truncate=False)
 
 
@@ -29,11 +35,18 @@ def write_lines(df: DataFrame, path) -> None:
 
 
 def _started(writer: DataStreamWriter, checkpoint, trigger) -> StreamingQuery:
-    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    return triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
+
+
+def triggered(writer: DataStreamWriter, trigger) -> DataStreamWriter:
+    """With no trigger the next batch starts when the last has ended."""
+    return writer.trigger(**trigger) if trigger else writer
 
 
-def to_console(df: DataFrame, checkpoint, mode="update", trigger=None) -> StreamingQuery:
-    return _started(df.writeStream.format("console").outputMode(mode).option("truncate", False), checkpoint, trigger)
+def to_console(df: DataFrame, checkpoint, rows: int, mode="update", trigger=None) -> StreamingQuery:
+    """A preview of so many rows of each batch on the console; the whole goes to `to_updates` or `to_files`."""
+    console = df.writeStream.format("console").outputMode(mode).option("truncate", False).option("numRows", rows)
+    return _started(console, checkpoint, trigger)
 
 
 def to_files(df: DataFrame, path, checkpoint, fmt="parquet", trigger=None) -> StreamingQuery:

@@ -13,7 +13,7 @@ from tagpulse.operators.aggregates import PART
 from tagpulse.operators.ordering import lists_in_parts, part_of, running
 from tagpulse.schema import ARRIVAL
 from tagpulse.session import checkpointed
-from tagpulse.sources.sinks import latest_updates
+from tagpulse.sources.sinks import latest_updates, triggered
 from tagpulse.streaming.folders import read_batch, write_batch
 
 
@@ -43,7 +43,8 @@ def _extend(batch: DataFrame, batch_id: int, key, item, out, part_size) -> DataF
         items.select(key, item, "position").unionByName(reopened), [key], "position", item, "items", part_size)
     touched = write_batch(touched, f"{out}/lists", batch_id)
 
-    last = touched.join(sizes, key).where(F.col("part") == part_of("size", part_size))
+    # on key and part: a key with many touched parts is not one task
+    last = touched.join(sizes.withColumn("part", part_of("size", part_size)), [key, "part"])
     full = F.col("size") % part_size == 0
     grown = last.select(key, "size", F.when(full, F.array().cast("array<string>")).otherwise(F.col("items")).alias("open"))
     kept = before.join(sizes.select(key), key, "left_anti")
@@ -56,19 +57,19 @@ def start_lists(rows: DataFrame, key, item, out, checkpoint, part_size=PART, rec
     """Keeps `out/lists` up to date with (key, part, items) from streaming rows (key, item, arrival).
 
     With `recorded`, a table of (key, part, text) of the same part size, every batch also writes
-    the touched parts beside the recorded ones to `out/compared`.
+    the touched parts beside the recorded ones to `out/compared`, and while a list is in its part 0
+    the further recorded parts, so that the recorded value is always whole.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         touched = _extend(batch, batch_id, key, item, out, part_size)
         if recorded is not None:
-            live = touched.select(key, "part", F.array_join("items", ";").alias("_text"))
-            write_batch(compare.compare_touched(recorded, live, key, "_text"), f"{out}/compared", batch_id)
+            text = [c for c in recorded.columns if c not in (key, "part")][0]
+            live = touched.select(key, "part", F.array_join("items", ";").alias(text))
+            write_batch(compare.compare_lists(recorded, live, key, text), f"{out}/compared", batch_id)
 
-    return (
-        rows.writeStream.foreachBatch(step).outputMode(mode)
-        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
-    )
+    writer = rows.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger).start()
 
 
 def read_lists(spark: SparkSession, out, key) -> DataFrame:
@@ -77,5 +78,5 @@ def read_lists(spark: SparkSession, out, key) -> DataFrame:
 
 
 def read_compared(spark: SparkSession, out, key) -> DataFrame:
-    """The latest comparison (key, part, result) of every part the stream has touched."""
+    """The latest comparison (key, part, result) of every key the stream has touched."""
     return latest_updates(spark, f"{out}/compared", [key, "part"])

@@ -5,6 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from tagpulse.operators.regression import SUMS, online_predictions, point_sums
+from tagpulse.sources.sinks import triggered
 from tagpulse.streaming.folders import read_batch, write_batch
 
 
@@ -27,10 +28,8 @@ def start_online_regression(cells: DataFrame, x, y, out, checkpoint, xy=None, tr
         write_batch(online_predictions(closed, x, y, xy, before=seed), f"{out}/predictions", batch_id)
         write_batch(sums, f"{out}/sums", batch_id)
 
-    return (
-        cells.writeStream.foreachBatch(step).outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
-    )
+    writer = cells.writeStream.foreachBatch(step).outputMode("append").option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger).start()
 
 
 def read_predictions(spark: SparkSession, out) -> DataFrame:

@@ -13,6 +13,7 @@ def test_series_lines_are_read_back(spark):
         ("peru", 0, [(2.0, 500)]), ("usa", 0, [(4.0, 0), (5.5, 2000)])]
     broken = lines.union(spark.createDataFrame([("oops",), ('("usa",x,1,1)',), ("",)], "value string"))
     assert reshape.parse_series(broken).count() == 3
+    assert tuples(reshape.bad_series_lines(broken)) == [('("usa",x,1,1)',), ("oops",)]
     split = programs.chart_series(lines, 1)
     assert tuples(split, "tag", "part") == [("peru", 0), ("usa", 0), ("usa", 1)]
 
@@ -37,9 +38,11 @@ def ride(start, end, tail):
 def test_trips(spark, tmp_path):
     (tmp_path / "rides.csv").write_bytes(
         (ride("2013-01-01 10:00:00", "2013-01-01 11:00:00", "a") + ride("2013-01-01 09:00:00", "2013-01-01 10:30:00", "b")).encode())
-    got = [(r.position, r.row_no, r.kind, str(r.at), str(r.other), r.c14, r.c1)
-           for r in programs.trip_lines(spark, str(tmp_path)).collect()]
-    assert got == [
+    row = lambda n, r: (n, r.row_no, r.kind, str(r.at), str(r.other), r.c14, r.c1)
+    lines = programs.trip_lines(spark, str(tmp_path))
+    placed = reshape.place_by_time(lines).orderBy("position").collect()
+    got = [row(n + 1, r) for n, r in enumerate(lines.collect())]
+    assert got == [row(r.position, r) for r in placed] == [
         (1, 2, "START", "2013-01-01 09:00:00", "1970-01-01 00:00:00", "q2b", "mb"),
         (2, 1, "START", "2013-01-01 10:00:00", "1970-01-01 00:00:00", "q2a", "ma"),
         (3, 2, "END", "2013-01-01 10:30:00", "2013-01-01 09:00:00", "q2b", "mb"),

@@ -12,7 +12,8 @@ from tagpulse.operators import compare, regression, views
 from tagpulse.plans import programs
 from tagpulse.schema import TWEET
 from tagpulse.sources import sinks
-from tagpulse.sources.posts import read_lines, stream_lines
+from tagpulse.sources.sinks import ONCE
+from tagpulse.sources.posts import parse_tweets, read_lines, stream_lines
 from tagpulse.streaming import live
 from tagpulse.streaming.lists import read_compared, read_lists, start_lists
 from tagpulse.streaming.online import read_predictions, start_online_regression
@@ -60,18 +61,18 @@ def done(query):
 
 def test_counts_and_means(spark, both):
     tweets, stream, _, tmp = both
-    query = done(sinks.to_updates(live.tag_counts(stream), f"{tmp}/counts", f"{tmp}/c1"))
+    query = done(sinks.to_updates(live.tag_counts(stream), f"{tmp}/counts", f"{tmp}/c1", ONCE))
     assert len(query.recentProgress) >= BATCHES
     expected = agg.tag_counts(views.tag_rows(views.english_with_text(tweets)))
     assert tuples(sinks.latest_updates(spark, f"{tmp}/counts", ["tag"])) == tuples(expected)
-    done(sinks.to_updates(live.mean_words(stream, ["hot"], normalize=False), f"{tmp}/means", f"{tmp}/c2"))
+    done(sinks.to_updates(live.mean_words(stream, ["hot"], normalize=False), f"{tmp}/means", f"{tmp}/c2", ONCE))
     expected = agg.mean_words(agg.post_words(tweets, ["hot"], normalize=False))
     assert tuples(sinks.latest_updates(spark, f"{tmp}/means", ["tag"])) == tuples(expected)
 
 
 def test_each_user_is_new_once(spark, both):
     tweets, stream, _, tmp = both
-    done(sinks.to_updates(live.new_users(stream), f"{tmp}/new", f"{tmp}/c"))
+    done(sinks.to_updates(live.new_users(stream), f"{tmp}/new", f"{tmp}/c", ONCE))
     log = spark.read.parquet(f"{tmp}/new")
     assert tuples(log.drop("batch_id")) == tuples(agg.first_uses(views.tag_user(tweets)))
     assert log.select("batch_id").distinct().count() > 1
@@ -83,13 +84,13 @@ def test_lists(spark, both, part_size):
     rows = views.country_tag(tweets)
     expected = agg.tags_per_country(rows, part_size)
     recorded = agg.tags_per_country(rows.where("country = 'Peru'"), part_size)
-    done(start_lists(views.country_tag(stream), "country", "tag", f"{tmp}/out", f"{tmp}/c", part_size, recorded))
+    done(start_lists(views.country_tag(stream), "country", "tag", f"{tmp}/out", f"{tmp}/c", part_size, recorded, trigger=ONCE))
     parts = read_lists(spark, f"{tmp}/out", "country")
     assert tuples(parts.select("country", "part", F.concat(F.array_join("items", ";"), F.lit(";")))) == tuples(expected)
     compared = compare.compare_country_tags(recorded, expected)
     assert tuples(read_compared(spark, f"{tmp}/out", "country")) == tuples(compared)
 
-    done(start_lists(live.new_users(stream), "tag", "user_name", f"{tmp}/users", f"{tmp}/c2", part_size, mode="update"))
+    done(start_lists(live.new_users(stream), "tag", "user_name", f"{tmp}/users", f"{tmp}/c2", part_size, mode="update", trigger=ONCE))
     users = read_lists(spark, f"{tmp}/users", "tag").select("tag", "part", F.array_join("items", ";"))
     assert tuples(users) == tuples(agg.users_per_tag(views.tag_user(tweets), part_size))
 
@@ -107,14 +108,14 @@ def test_windows(spark, both):
         "users": (live.window_users(stream, delay="0 seconds"), agg.window_users(views.tag_user(tweets), "10 seconds"), 10),
     }
     for name, (windows, expected, seconds) in cases.items():
-        done(sinks.to_files(windows, f"{tmp}/{name}", f"{tmp}/c-{name}"))
+        done(sinks.to_files(windows, f"{tmp}/{name}", f"{tmp}/c-{name}", trigger=ONCE))
         assert tuples(spark.read.parquet(f"{tmp}/{name}")) == tuples(closed(expected, seconds)), name
 
 
 def test_scores(spark, both):
     tweets, stream, _, tmp = both
     model = regression.fit(agg.token_stats(agg.token_rows(tweets)), "tokens", "longest")
-    done(sinks.to_files(live.scored_token_stats(stream, model, delay="0 seconds"), f"{tmp}/s", f"{tmp}/c"))
+    done(sinks.to_files(live.scored_token_stats(stream, model, delay="0 seconds"), f"{tmp}/s", f"{tmp}/c", trigger=ONCE))
     cells = closed(agg.token_stats(agg.token_rows(tweets), "10 seconds"), 10)
     assert tuples(spark.read.parquet(f"{tmp}/s")) == tuples(regression.score(cells, model, "tokens"))
 
@@ -126,7 +127,7 @@ def rounded(df):
 def test_online_regression_with_restart_and_repeated_batch(spark, both):
     tweets, stream, folder, tmp = both
     cells = live.window_users(stream, delay="0 seconds")
-    start = lambda: done(start_online_regression(cells, "uses", "users", f"{tmp}/out", f"{tmp}/c"))
+    start = lambda: done(start_online_regression(cells, "uses", "users", f"{tmp}/out", f"{tmp}/c", trigger=ONCE))
     start()
     whole = regression.online_predictions(closed(agg.window_users(views.tag_user(tweets), "10 seconds"), 10), "uses", "users")
     first = rounded(read_predictions(spark, f"{tmp}/out"))
@@ -156,7 +157,7 @@ def test_late_posts_are_dropped_after_the_delay(spark, tmp_path):
     write_files(spark, str(folder), [dict(at=SECONDS)], 1)
     write_files(spark, str(folder), [dict(at=0)], 2)
     stream = spark.readStream.schema(TWEET).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*.parquet")
-    done(sinks.to_files(live.window_mean_words(stream, "10 seconds", delay="0 seconds"), f"{tmp_path}/w", f"{tmp_path}/c"))
+    done(sinks.to_files(live.window_mean_words(stream, "10 seconds", delay="0 seconds"), f"{tmp_path}/w", f"{tmp_path}/c", trigger=ONCE))
     assert [r.posts for r in spark.read.parquet(f"{tmp_path}/w").collect()] == [10] * (SECONDS // 10)
 
 
@@ -168,27 +169,28 @@ def test_programs_from_lines(spark, tmp_path):
     lines = stream_lines(spark, str(folder), 1)
     recorded = read_lines(spark, str(folder))
     out = lambda name: str(tmp_path / name)
-    done(programs.start_compare_counts(recorded, lines, out("counts"), out("c1"), {"availableNow": True}))
+    done(programs.start_compare_counts(recorded, lines, out("counts"), out("c1"), ONCE))
     assert tuples(sinks.latest_updates(spark, out("counts"), ["tag"])) == [
         ("japan", "Batch-Value: 9  Stream-Value:9"), ("usa", "Batch-Value: 3  Stream-Value:3")]
-    done(programs.start_compare_users(recorded, lines, out("users"), out("c2"), trigger={"availableNow": True}))
+    done(programs.start_compare_users(recorded, lines, out("users"), out("c2"), trigger=ONCE))
     users = dict(tuples(read_compared(spark, out("users"), "tag"), "tag", "result"))
     assert users["usa"] == "Batch-Value: ann  Stream-Value:ann"
-    assert {frozenset(s.split(":")[-1].split(";")) for s in [users["japan"]]} == {frozenset(["ann", "bob", "c"])}
-    done(programs.start_compare_country_tags(recorded, lines, out("tags"), out("c3"), trigger={"availableNow": True}))
+    # in the order of their lines, as in the record
+    assert users["japan"] == "Batch-Value: ann;bob;c  Stream-Value:ann;bob;c"
+    done(programs.start_compare_country_tags(recorded, lines, out("tags"), out("c3"), trigger=ONCE))
     tags = "japan;usa;japan;usa;japan;usa"
     assert tuples(read_compared(spark, out("tags"), "country")) == [("Japan", 0, f"Batch-Value: {tags};  Stream-Value:{tags}")]
-    done(sinks.copy_log(lines, out("log"), out("c4")))
+    done(sinks.copy_log(lines, out("log"), out("c4"), ONCE))
     assert sorted(r.value for r in spark.read.text(out("log")).collect()) == sorted(LINES * 3)
-    done(sinks.to_console(programs.live_tag_counts(lines), out("c5")))
+    done(sinks.to_console(programs.live_tag_counts(lines), out("c5"), 30, trigger=ONCE))
     for name, frame in {"a": programs.live_mean_words(lines), "b": programs.live_mean_words_by_case(lines)}.items():
-        done(sinks.to_updates(frame, out(f"m{name}"), out(f"cm{name}")))
+        done(sinks.to_updates(frame, out(f"m{name}"), out(f"cm{name}"), ONCE))
     assert tuples(sinks.latest_updates(spark, out("mb"), ["tag"])) == [("Japan", 4.0, 3), ("USA", 4.0, 3), ("japan", 2.0, 6)]
-    for name, frame in {"w": programs.live_window_mean_words(lines), "l": programs.live_longest_words(lines),
+    for name, frame in {"w": programs.live_window_mean_words(lines), "l": programs.live_longest_words(lines, tags=programs.COUNTRY_TAGS),
                         "s": programs.live_longest_word_scores(recorded, lines)}.items():
-        done(sinks.to_files(frame, out(name), out(f"c{name}")))
-    done(programs.start_user_regression(lines, out("r1"), out("cr1")))
-    done(programs.start_mean_words_regression(lines, out("r2"), out("cr2")))
+        done(sinks.to_files(frame, out(name), out(f"c{name}"), trigger=ONCE))
+    done(programs.start_user_regression(lines, out("r1"), out("cr1"), trigger=ONCE))
+    done(programs.start_mean_words_regression(lines, out("r2"), out("cr2"), trigger=ONCE))
 
 
 def test_recorded_programs(spark, tmp_path):
@@ -196,6 +198,48 @@ def test_recorded_programs(spark, tmp_path):
     lines = read_lines(spark, str(tmp_path))
     assert tuples(programs.tags_per_country(lines)) == [("Japan", 0, "Japan:japan;usa;")]
     assert tuples(programs.users_per_tag(lines)) == [("empty", 0, "ann"), ("japan", 0, "ann;bob;c"), ("usa", 0, "ann")]
-    assert tuples(programs.longest_words(lines)) == [("japan", "three", 5), ("usa", "three", 5)]
+    assert tuples(programs.longest_words(lines, programs.COUNTRY_TAGS)) == [("japan", "three", 5), ("usa", "three", 5)]
     assert programs.longest_word_model(lines).first().points == 2
     assert programs.keyword_posts(lines, ["usa"]).count() == 1
+    assert programs.longest_words(lines).count() == 0  # they look for tags of their own
+
+
+def test_longer_records_are_shown_whole(spark, tmp_path):
+    """Ten recorded users, three live ones, parts of four: all three parts, also where nothing is live."""
+    recorded = agg.users_per_tag(views.tag_user(tweets_df(spark, [dict(at=i, hashtags=["t"], user_name=f"r{i}") for i in range(10)])), 4)
+    data = [dict(at=i, hashtags=["t"], user_name=f"l{i // 2}") for i in range(6)]
+    live_rows = views.tag_user(tweets_df(spark, data))
+    label = lambda old, new: f"Batch-Value: {old}  Stream-Value:{new}"
+    expected = [("t", 0, label("r0;r1;r2;r3", "l0;l1;l2")), ("t", 1, label("r4;r5;r6;r7", "")), ("t", 2, label("r8;r9", ""))]
+    assert tuples(compare.compare_users(recorded, agg.users_per_tag(live_rows, 4))) == expected
+    updates = compare.compare_user_updates(recorded, live_rows, 4).select("tag", "part", "result", "tweet_id")
+    assert sorted((r.part, r.result) for r in updates.collect() if r.part) == [(1, expected[1][2]), (2, expected[2][2])]
+    assert updates.where("part = 0").count() == 6
+
+    folder = tmp_path / "posts"
+    folder.mkdir()
+    for n in range(3):
+        df = tweets_df(spark, [dict(p, tweet_id=2 * n + i) for i, p in enumerate(data[2 * n:2 * n + 2])])
+        df.coalesce(1).write.parquet(str(folder / f"part-{n}"))
+        for f in (folder / f"part-{n}").glob("*.parquet"):
+            f.rename(folder / f"{n}.parquet")
+        os.utime(folder / f"{n}.parquet", (1700000000 + n, 1700000000 + n))
+    stream = spark.readStream.schema(TWEET).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*.parquet")
+    done(start_lists(live.new_users(stream), "tag", "user_name", str(tmp_path / "out"), str(tmp_path / "c"), 4, recorded, "update", ONCE))
+    assert tuples(read_compared(spark, str(tmp_path / "out"), "tag")) == expected
+
+
+def test_live_lines_keep_the_order_of_their_file(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    names = ["ann", "bob", "cid", "dan", "eve", "fay"]
+    for n in range(2):
+        lines = [f'{{"text":"x","lang":"en","user":{{"name":"{name}{n}"}},"entities":{{"hashtags":[{{"text":"t"}}]}}}}' for name in names]
+        (folder / f"{n}.json").write_text("\n".join([*lines, lines[0]]) + "\n", encoding="utf-8")
+        os.utime(folder / f"{n}.json", (1700000000 + n, 1700000000 + n))
+    rows = live.new_users(parse_tweets(stream_lines(spark, str(folder), 2)))
+    done(start_lists(rows, "tag", "user_name", str(tmp_path / "out"), str(tmp_path / "c"), 100, mode="update", trigger=ONCE))
+    listed = read_lists(spark, str(tmp_path / "out"), "tag").first()["items"]
+    assert listed == [f"{name}{n}" for n in range(2) for name in names]
+    batch = agg.users_per_tag(views.tag_user(parse_tweets(read_lines(spark, str(folder)))), 100).first().users
+    assert batch.split(";") == listed
