@@ -30,11 +30,6 @@ SECRET_BITS = 96  # a token that could hold fewer is not tested: too short for a
 BINS_PER_DECADE, DECADES = 8, 40  # how finely p-values are counted
 
 
-def bound(value: Column, use) -> Column:
-    """`use` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def matches(text: Column, kind: int) -> Column:
     """The pattern's matches in order, each with the characters since the one before."""
     pattern = F.lit(PATTERNS[kind])
@@ -55,54 +50,56 @@ def upper_tail(z: Column) -> Column:
     return F.when(z >= 0, q).otherwise(1 - q)
 
 
-def randomness(token: Column, symbols: str) -> Column:
-    """The chance that symbols drawn evenly and on their own look as uneven as the token's: chi-squared test of the counts,
-    runs above and below the middle, and correlation of neighbours, combined by Fisher's method."""
-    k = len(symbols)
-    n = F.char_length(token).cast("double")
-    letters = F.split(token, "")
-    counts = F.transform(F.array_distinct(letters), lambda c: n - F.char_length(F.replace(token, c, F.lit(""))))
-    squares = F.aggregate(counts, F.lit(0.0), lambda s, c: s + c * c)
-    ratio = (k * squares / n - n) / (k - 1)
-    spread = 2 / (9 * (k - 1))
-    uneven = upper_tail((F.pow(F.greatest(ratio, F.lit(0.0)), F.lit(1 / 3)) - (1 - spread)) / spread**0.5)
-
-    halves = F.translate(token, symbols, "0" * (k // 2) + "1" * (k - k // 2))
-    ones = n - F.char_length(F.replace(halves, F.lit("1"), F.lit("")))
-    zeros = n - ones
-    steps = lambda pair: (n - F.char_length(F.replace(halves, F.lit(pair), F.lit("")))) / 2
-    runs = 1 + steps("01") + steps("10")
-    mixed = 2 * ones * zeros
-    deviation = F.sqrt(F.greatest(mixed * (mixed - n) / (n * n * (n - 1)), F.lit(0.0)))
-    clumped = F.when(deviation > 0, 2 * upper_tail(F.abs(runs - mixed / n - 1) / deviation)).otherwise(0.0)
-
-    values = F.transform(letters, lambda c: F.instr(F.lit(symbols), c).cast("double"))
-
-    def correlation(v):
-        total = F.aggregate(v, F.lit(0.0), lambda s, x: s + x)
-        square = F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
-        turned = F.concat(F.slice(v, 2, F.size(v)), F.slice(v, 1, 1))
-        product = F.aggregate(F.zip_with(v, turned, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-        below = n * square - total * total
-        r = (n * product - total * total) / F.when(below > 0, below)
-        return F.coalesce(2 * upper_tail(F.abs(r + 1 / (n - 1)) * F.sqrt(n)), F.lit(0.0))
-
-    least = 1e-15
-    log_sum = -sum((F.ln(F.greatest(p, F.lit(least))) for p in (uneven, clumped, bound(values, correlation))), F.lit(0.0))
-    return bound(log_sum, lambda x: F.exp(-x) * (1 + x + x * x / 2))  # chi-squared with six degrees of freedom
-
-
-def tested(token: Column) -> Column:
-    """(encoding, p) of the first encoding that the token is written in; NULL if there is none, or it is too short."""
-    choice = F.lit(None).cast("struct<encoding:string,p:double>")
+def encoding(token: Column) -> Column:
+    """(name, symbols) of the first encoding that the token is written in; NULL if there is none, or it is too short."""
+    choice = F.lit(None).cast("struct<name:string,symbols:string>")
     for name, pattern, classes, symbols in reversed(ENCODINGS):
         fits = F.regexp_like(token, F.lit(pattern)) & (F.char_length(token) * log2(len(symbols)) >= SECRET_BITS)
         for c in classes:
             fits = fits & F.regexp_like(token, F.lit(c))
-        choice = F.when(fits, F.struct(F.lit(name).alias("encoding"), randomness(token, symbols).alias("p"))).otherwise(choice)
+        choice = F.when(fits, F.struct(F.lit(name).alias("name"), F.lit(symbols).alias("symbols"))).otherwise(choice)
     return choice
 
 
+def randomness(tokens: DataFrame) -> DataFrame:
+    """Adds `p` to (match, symbols): the chance that symbols drawn evenly and on their own look as uneven as the token's.
+
+    Chi-squared test of the counts, runs above and below the middle, and correlation of neighbours, combined by Fisher's
+    method. Step by step, each value computed once; NULL where there are no symbols.
+    """
+    others = tokens.columns
+    square = lambda array: F.aggregate(array, F.lit(0.0), lambda s, x: s + x * x)
+    total = lambda array: F.aggregate(array, F.lit(0.0), lambda s, x: s + x)
+    n, k = F.col("_n"), F.col("_k")
+    half = F.floor(k / 2).cast("int")
+    halves = F.call_function("translate", F.col("match"), F.col("symbols"), F.concat(F.repeat(F.lit("0"), half), F.repeat(F.lit("1"), (k - half).cast("int"))))
+    counts = F.transform(F.array_distinct("_letters"), lambda c: n - F.char_length(F.replace(F.col("match"), c, F.lit(""))))
+    without = lambda part: n - F.char_length(F.replace(F.col("_halves"), F.lit(part), F.lit("")))
+    turned = F.concat(F.slice("_values", 2, F.size("_values")), F.slice("_values", 1, 1))
+    product = total(F.zip_with("_values", turned, lambda x, y: x * y))
+    steps = [
+        {"_n": F.char_length("match").cast("double"), "_k": F.char_length("symbols").cast("double"), "_letters": F.split("match", "")},
+        {"_halves": F.when(F.col("symbols").isNotNull(), halves),
+         "_values": F.transform("_letters", lambda c: F.instr(F.col("symbols"), c).cast("double")), "_squares": square(counts)},
+        {"_ones": without("1"), "_runs": 1 + (without("01") + without("10")) / 2,
+         "_sum": total(F.col("_values")), "_square": square(F.col("_values")), "_product": product},
+        {"_ratio": (k * F.col("_squares") / n - n) / (k - 1), "_spread": 2 / (9 * (k - 1)), "_mixed": 2 * F.col("_ones") * (n - F.col("_ones")),
+         "_below": n * F.col("_square") - F.col("_sum") * F.col("_sum")},
+        {"_uneven": (F.pow(F.greatest("_ratio", F.lit(0.0)), F.lit(1 / 3)) - (1 - F.col("_spread"))) / F.sqrt("_spread"),
+         "_deviation": F.sqrt(F.greatest(F.col("_mixed") * (F.col("_mixed") - n) / (n * n * (n - 1)), F.lit(0.0))),
+         "_r": (n * F.col("_product") - F.col("_sum") * F.col("_sum")) / F.when(F.col("_below") > 0, F.col("_below"))},
+        {"_clumped": F.abs(F.col("_runs") - F.col("_mixed") / n - 1) / F.when(F.col("_deviation") > 0, F.col("_deviation")),
+         "_linked": F.abs(F.col("_r") + 1 / (n - 1)) * F.sqrt(n)},
+        {"_p1": upper_tail(F.col("_uneven")), "_p2": F.coalesce(2 * upper_tail(F.col("_clumped")), F.lit(0.0)),
+         "_p3": F.coalesce(2 * upper_tail(F.col("_linked")), F.lit(0.0))},
+        {"_x": -sum((F.ln(F.greatest(c, F.lit(1e-15))) for c in ("_p1", "_p2", "_p3")), F.lit(0.0))},
+    ]
+    for step in steps:
+        tokens = tokens.withColumns(step)
+    x = F.col("_x")  # half of a chi-squared value with six degrees of freedom
+    return tokens.select(*others, F.when(F.col("symbols").isNotNull(), F.exp(-x) * (1 + x + x * x / 2)).alias("p"))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """All matches in `docs` (`row`, `text` and others): the others with kind (its number, -1 for one more row per document),
     start, end, match, and for tokens of an inferred encoding band (encoding and length class) and bin (of their p-value)."""
@@ -118,10 +115,11 @@ def spans(docs: DataFrame) -> DataFrame:
     judged = F.when(F.col("kind") == 0, F.char_length(F.regexp_extract("match", PATTERNS[0], 2))).otherwise(F.col("length"))
     least = F.element_at(F.array(*map(F.lit, LEAST)), F.greatest(F.col("kind"), F.lit(0)) + 1)
     kept = placed.where((F.col("kind") < 0) | (judged >= least))
-    kept = kept.withColumn("test", F.when(F.col("kind") == 3, tested(F.col("match")))).where("kind <> 3 or test is not null")
-    band = F.struct(F.col("test.encoding").alias("encoding"), F.floor(F.log2("length")).cast("int").alias("doublings"))
-    floor = F.greatest(F.col("test.p"), F.lit(10.0**-DECADES))
-    return kept.select(
+    kept = kept.withColumn("written", F.when(F.col("kind") == 3, encoding(F.col("match")))).where("kind <> 3 or written is not null")
+    band = F.struct(F.col("written.name").alias("encoding"), F.floor(F.log2("length")).cast("int").alias("doublings"))
+    tested = randomness(kept.withColumn("symbols", F.col("written.symbols")))
+    floor = F.greatest(F.col("p"), F.lit(10.0**-DECADES))
+    return tested.select(
         *others, "kind", "start", "end", "match", F.when(F.col("kind") == 3, band).alias("band"),
         F.floor(-F.log10(floor) * BINS_PER_DECADE).cast("int").alias("bin"))
 

@@ -93,13 +93,14 @@ def _forests(distance: int):
             bits = rows[:, 4].view(np.uint64) if rows[:, 4].flags.c_contiguous else rows[:, 4].copy().view(np.uint64)
             two = starts[ends - starts == 2]
             near = np.bitwise_count(bits[two] ^ bits[two + 1]) <= distance
-            left, right = [bits[two][near]], [bits[two + 1][near]]
+            left, right, masks = [bits[two][near]], [bits[two + 1][near]], [rows[two, 0][near]]
             for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
                 for at, found in near_forest(bits[a:b], distance):
                     left.append(np.full(len(found), at, np.uint64))
                     right.append(found)
+                    masks.append(np.full(len(found), rows[a, 0]))
             columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (left, right)]
-            yield pa.RecordBatch.from_arrays(columns, names=["left", "right"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(masks).astype(np.int32)), *columns], names=["mask", "left", "right"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -114,16 +115,18 @@ def _forests(distance: int):
     return run
 
 
-def near_links(prints: DataFrame, distance: int = 4, members: int = 4096) -> DataFrame:
-    """(left, right): links between distinct `bits` that connect all that differ in at most `distance` bits, and no others.
+def near_links(prints: DataFrame, distance: int = 4, members: int = 4096, kinds: int = 1) -> DataFrame:
+    """(kind, left, right): links between distinct `bits` of one `kind` (0 to `kinds` - 1) that connect all that differ in at most
+    `distance` bits, and no others.
 
     The bits are cut into blocks; two that are near each other agree on all but `distance` of the blocks, so they meet
     under one of the masks that keep the others. Every mask's groups of two and more are joined and verified. A group of
     over `members` is cut into that many by hash, and every two parts meet in a task of their own; from each comes a
     forest, never all pairs, so what comes out is linear in the members.
     """
-    masks = block_masks(block_count(prints.count(), distance), distance)
-    keys = prints.select("bits", F.posexplode(F.array(*[F.col("bits").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "key"))
+    masks = block_masks(block_count(prints.count() // kinds, distance), distance)
+    keys = prints.select("kind", "bits", F.posexplode(F.array(*[F.col("bits").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "key"))
+    keys = keys.select("bits", (F.col("kind") * len(masks) + F.col("mask")).alias("mask"), "key")
     sizes = keys.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / members).cast("int")
     cells = (
@@ -134,7 +137,8 @@ def near_links(prints: DataFrame, distance: int = 4, members: int = 4096) -> Dat
         .select("mask", "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "bits"))
     group = ["mask", "key", "a", "b"]
     dealt = cells.repartition(*group).sortWithinPartitions(*group)
-    return dealt.mapInArrow(_forests(distance), "left long, right long")
+    links = dealt.mapInArrow(_forests(distance), "mask int, left long, right long")
+    return links.select(F.floor(F.col("mask") / len(masks)).cast("int").alias("kind"), "left", "right")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: int = 4, members: int = 4096) -> DataFrame:
@@ -148,7 +152,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: i
     """
     prints = checkpointed(fingerprints(docs, words, seed))
     distinct = checkpointed(prints.groupBy("bits").agg(F.min("doc_id").alias("first")))
-    roots = components(near_links(distinct, distance, members))
+    roots = components(near_links(distinct.withColumn("kind", F.lit(0)), distance, members))
     rooted = (
         distinct.join(roots.select(F.col("node").alias("bits"), "root"), "bits", "left")
         .withColumn("root", F.coalesce("root", "bits")))
@@ -186,16 +190,14 @@ def similar_documents(docs: DataFrame, seeds: tuple[int, ...] = (11, 12, 13, 14)
     """
     prints = checkpointed(word_prints(docs, seeds))
     texts = checkpointed(prints.groupBy("words").agg(F.min("doc_id").alias("first"), F.any_value("bits").alias("bits")))
-    links = None
-    for k in range(len(seeds)):
-        own = texts.select("words", F.col("bits")[k].alias("bits"))
-        values = own.groupBy("bits").agg(F.min("words").alias("least"))
-        near = near_links(values.select("bits"), distance, members)
-        ends = [values.select(F.col("bits").alias(c), F.col("least").alias(f"_{c}")) for c in ("left", "right")]
-        between = near.join(ends[0], "left").join(ends[1], "right").select(F.col("_left").alias("left"), F.col("_right").alias("right"))
-        alike = own.join(values, "bits").where("words <> least").select(F.col("words").alias("left"), F.col("least").alias("right"))
-        found = between.union(alike)
-        links = found if links is None else links.union(found)
+    own = texts.select("words", F.posexplode("bits").alias("kind", "bits"))
+    values = checkpointed(own.groupBy("kind", "bits").agg(F.min("words").alias("least")))
+    near = near_links(values.select("kind", "bits"), distance, members, len(seeds))
+    ends = [values.select("kind", F.col("bits").alias(c), F.col("least").alias(f"_{c}")) for c in ("left", "right")]
+    between = near.join(ends[0], ["kind", "left"]).join(ends[1], ["kind", "right"])
+    between = between.select(F.col("_left").alias("left"), F.col("_right").alias("right"))
+    alike = own.join(values, ["kind", "bits"]).where("words <> least").select(F.col("words").alias("left"), F.col("least").alias("right"))
+    links = between.union(alike)
     roots = components(links).select(F.col("node").alias("words"), "root")
     rooted = texts.join(roots, "words", "left").select("words", "first", F.coalesce("root", "words").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -150,11 +150,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 20_000, lexicon_size:
                     names=["doc_id", "x", "toxic", "half"])
 
         found = sample.select("doc_id", "text", "toxic", "half").mapInArrow(vectors, "doc_id long, x array<double>, toxic int, half int")
-        fitted = sorted((r.doc_id, r.x, r.toxic, r.half) for r in found.collect())  # bounded by `rows`
+        fitted = found.toArrow()  # bounded by `rows`
     finally:
         sample.unpersist()
-    x = np.array([r[1] for r in fitted]).reshape(-1, len(FEATURES))
-    y, half = np.array([r[2] for r in fitted], float), np.array([r[3] for r in fitted])
+    order = np.argsort(fitted.column("doc_id").to_numpy(), kind="stable")
+    x = fitted.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))[order]
+    y, half = fitted.column("toxic").to_numpy()[order].astype(float), fitted.column("half").to_numpy()[order]
     apart = np.zeros(len(y))
     for h in (0, 1):
         apart[half == h] = fit_boosted(x[half != h], y[half != h])(x[half == h])

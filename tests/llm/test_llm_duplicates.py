@@ -65,7 +65,7 @@ def test_large_groups_are_cut_and_lose_no_link(spark, members):
     bits = {c ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 3))) for c in centre for _ in range(60)} | {r.getrandbits(64) for _ in range(40)}
     bits = sorted(bits)
     signed = [b - 2**64 if b >> 63 else b for b in bits]
-    links = simhash.near_links(spark.createDataFrame([(s,) for s in signed], "bits long"), 4, members).collect()
+    links = simhash.near_links(spark.createDataFrame([(0, s) for s in signed], "kind int, bits long"), 4, members).select("left", "right").collect()
     assert len(links) < len(bits) * 40  # not all pairs
     assert all(bin((a.left ^ a.right) % 2**64).count("1") <= 4 for a in links)
     expected = component_ids(bits, signed)
