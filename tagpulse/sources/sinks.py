@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tagpulse.streaming.folders import compact, latest
+
 
 ONCE = {"availableNow": True}
 
@@ -54,21 +56,24 @@ def to_files(df: DataFrame, path, checkpoint, fmt="parquet", trigger=None) -> St
     return _started(df.writeStream.format(fmt).outputMode("append").option("path", path), checkpoint, trigger)
 
 
-def to_updates(df: DataFrame, path, checkpoint, trigger=None) -> StreamingQuery:
-    """Each batch's changed keys as its own folder; a repeated batch replaces its folder."""
+def to_updates(df: DataFrame, path, checkpoint, trigger=None, keys=None, compact_every=20) -> StreamingQuery:
+    """Each batch's changed keys as its own folder; a repeated batch replaces its folder.
+
+    With `keys`, what newer batches have replaced is dropped every `compact_every` batches, so the log stays as large as the
+    result and the last batches.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if keys:
+            compact(batch.sparkSession, path, batch_id, keys, compact_every)
 
     return _started(df.writeStream.foreachBatch(write).outputMode("update"), checkpoint, trigger)
 
 
 def latest_updates(spark: SparkSession, path, keys) -> DataFrame:
     """The current value of each key written by `to_updates`."""
-    log = spark.read.parquet(path)
-    values = [c for c in log.columns if c not in keys and c != "batch_id"]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("_value")
-    return log.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_value.{c}").alias(c) for c in values])
+    return latest(spark.read.parquet(path), keys).drop("batch_id")
 
 
 def copy_log(lines: DataFrame, path, checkpoint, trigger=None) -> StreamingQuery:

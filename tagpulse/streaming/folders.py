@@ -1,6 +1,13 @@
-"""Tables that a stream writes one folder per batch, so that a repeated batch replaces its own."""
+"""Tables that a stream writes one folder per batch, so that a repeated batch replaces its own.
+
+What a live table no longer needs is dropped as it goes: a log of updates is compacted every so many batches, and a state keeps
+its last two batches. The last batch may be repeated after a failure, so it and the one before it are never touched.
+"""
+
+import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_batch(df: DataFrame, path, batch_id: int) -> DataFrame:
@@ -15,3 +22,51 @@ def read_batch(spark: SparkSession, path, batch_id: int, schema) -> DataFrame |
     if batch_id < 0:
         return None
     return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+
+
+def _batches(spark: SparkSession, path):
+    """The file system of `path` and the folders of its batches by number."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(str(path))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return files, {}
+    found = {}
+    for status in files.listStatus(root):
+        number = re.fullmatch(r"batch_id=(\d+)", status.getPath().getName())
+        if number:
+            found[int(number[1])] = status.getPath()
+    return files, found
+
+
+def drop_before(spark: SparkSession, path, batch_id: int) -> None:
+    """Removes the folders of earlier batches."""
+    files, folders = _batches(spark, path)
+    for number, folder in folders.items():
+        if number < batch_id:
+            files.delete(folder, True)
+
+
+def latest(log: DataFrame, keys) -> DataFrame:
+    """The newest row of each key of a log, with its batch_id."""
+    values = [c for c in log.columns if c not in keys]
+    newest = F.max_by(F.struct(*values), "batch_id").alias("_value")
+    return log.groupBy(*keys).agg(newest).select(*keys, "_value.*")
+
+
+def compact(spark: SparkSession, path, batch_id: int, keys, every: int) -> None:
+    """Every `every` batches, moves what older batches still have to say into the batch before the last but one.
+
+    That batch gets the newest rows of keys that it has not written itself; only then the older folders go. Done twice, or
+    broken off between the two, it changes nothing that `latest` shows.
+    """
+    target = batch_id - 2
+    if every < 1 or batch_id % every or target < 0:
+        return
+    _, folders = _batches(spark, path)
+    old = [str(folders[n].toString()) for n in sorted(folders) if n <= target]
+    if target not in folders or len(old) < 2:
+        return
+    log = spark.read.option("basePath", str(path)).parquet(*old)
+    moved = latest(log, keys).where(F.col("batch_id") < target).drop("batch_id")
+    moved.write.mode("append").parquet(f"{path}/batch_id={target}")
+    drop_before(spark, path, target)

@@ -14,7 +14,7 @@ from tagpulse.operators.ordering import lists_in_parts, part_of, running
 from tagpulse.schema import ARRIVAL
 from tagpulse.session import checkpointed
 from tagpulse.sources.sinks import latest_updates, triggered
-from tagpulse.streaming.folders import read_batch, write_batch
+from tagpulse.streaming.folders import compact, drop_before, read_batch, write_batch
 
 
 def _state_schema(key):
@@ -53,12 +53,15 @@ def _extend(batch: DataFrame, batch_id: int, key, item, out, part_size) -> DataF
 
 
 def start_lists(rows: DataFrame, key, item, out, checkpoint, part_size=PART, recorded=None, mode="append",
-                trigger=None) -> StreamingQuery:
+                trigger=None, compact_every=20) -> StreamingQuery:
     """Keeps `out/lists` up to date with (key, part, items) from streaming rows (key, item, arrival).
 
     With `recorded`, a table of (key, part, text) of the same part size, every batch also writes
     the touched parts beside the recorded ones to `out/compared`, and while a list is in its part 0
     the further recorded parts, so that the recorded value is always whole.
+
+    The tables do not grow with the number of batches: of the state the last two batches are kept, and of the lists and the
+    comparison, every `compact_every` batches, what is current.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -67,6 +70,10 @@ def start_lists(rows: DataFrame, key, item, out, checkpoint, part_size=PART, rec
             text = [c for c in recorded.columns if c not in (key, "part")][0]
             live = touched.select(key, "part", F.array_join("items", ";").alias(text))
             write_batch(compare.compare_lists(recorded, live, key, text), f"{out}/compared", batch_id)
+            compact(batch.sparkSession, f"{out}/compared", batch_id, [key, "part"], compact_every)
+        compact(batch.sparkSession, f"{out}/lists", batch_id, [key, "part"], compact_every)
+        drop_before(batch.sparkSession, f"{out}/state", batch_id - 1)
+        drop_before(batch.sparkSession, f"{out}/items", batch_id)
 
     writer = rows.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
     return triggered(writer, trigger).start()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tagpulse.operators.regression import SUMS, online_predictions, point_sums
 from tagpulse.sources.sinks import triggered
-from tagpulse.streaming.folders import read_batch, write_batch
+from tagpulse.streaming.folders import drop_before, read_batch, write_batch
 
 
 def start_online_regression(cells: DataFrame, x, y, out, checkpoint, xy=None, trigger=None) -> StreamingQuery:
@@ -27,6 +27,8 @@ def start_online_regression(cells: DataFrame, x, y, out, checkpoint, xy=None, tr
         seed = before.first().asDict() if before is not None else None  # one row of five numbers
         write_batch(online_predictions(closed, x, y, xy, before=seed), f"{out}/predictions", batch_id)
         write_batch(sums, f"{out}/sums", batch_id)
+        drop_before(spark, f"{out}/sums", batch_id - 1)
+        drop_before(spark, f"{out}/cells", batch_id)
 
     writer = cells.writeStream.foreachBatch(step).outputMode("append").option("checkpointLocation", checkpoint)
     return triggered(writer, trigger).start()

@@ -243,3 +243,40 @@ def test_live_lines_keep_the_order_of_their_file(spark, tmp_path):
     assert listed == [f"{name}{n}" for n in range(2) for name in names]
     batch = agg.users_per_tag(views.tag_user(parse_tweets(read_lines(spark, str(folder)))), 100).first().users
     assert batch.split(";") == listed
+
+
+def test_live_tables_stay_small(spark, tmp_path):
+    """Thirteen batches, compacted every fourth: few folders, the same result, also after the last batch is repeated."""
+    folder = tmp_path / "posts"
+    folder.mkdir()
+    data = posts()[:26]
+    for n in range(13):
+        df = tweets_df(spark, [dict(p, tweet_id=2 * n + i) for i, p in enumerate(data[2 * n:2 * n + 2])])
+        df.coalesce(1).write.parquet(str(folder / f"part-{n}"))
+        for f in (folder / f"part-{n}").glob("*.parquet"):
+            f.rename(folder / f"{n}.parquet")
+        os.utime(folder / f"{n}.parquet", (1700000000 + n, 1700000000 + n))
+    stream = spark.readStream.schema(TWEET).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*.parquet")
+    tweets = tweets_df(spark, data)
+    rows, out = views.country_tag(tweets), str(tmp_path / "out")
+    recorded = agg.tags_per_country(rows, 2)
+    start = lambda: done(start_lists(
+        views.country_tag(stream), "country", "tag", out, str(tmp_path / "c"), 4, recorded, trigger=ONCE, compact_every=4))
+    check = lambda: (
+        tuples(read_lists(spark, out, "country").select("country", "part", F.concat(F.array_join("items", ";"), F.lit(";"))))
+        == tuples(agg.tags_per_country(rows, 4))
+        and tuples(read_compared(spark, out, "country")) == tuples(compare.compare_country_tags(recorded, agg.tags_per_country(rows, 4))))
+    start()
+    assert check()
+    count = lambda name: len([f for f in os.listdir(f"{out}/{name}") if f.startswith("batch_id=")])
+    assert (count("state"), count("items")) == (2, 1) and count("lists") <= 6 and count("compared") <= 6
+    last = max((f for f in os.listdir(tmp_path / "c" / "commits") if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        os.remove(tmp_path / "c" / "commits" / name)
+    start()
+    assert check()
+
+    log = str(tmp_path / "log")
+    done(sinks.to_updates(live.tag_counts(stream), log, str(tmp_path / "c2"), ONCE, ["tag"], 4))
+    assert len([f for f in os.listdir(log) if f.startswith("batch_id=")]) <= 6
+    assert tuples(sinks.latest_updates(spark, log, ["tag"])) == tuples(agg.tag_counts(views.tag_rows(views.english_with_text(tweets))))
