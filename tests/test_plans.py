@@ -1,6 +1,7 @@
 """What the plans must look like, whatever the size of the data."""
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tagpulse import session
 from tagpulse.plans.queries import QUERIES
@@ -10,15 +11,42 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [
-    "tag_count_en", "tag_count_from_json", "users_per_tag", "tags_per_country", "avg_words_per_tag",
-    "longest_word_per_tag", "token_stats_per_tag", "regression_longest_word_scored", "running_user_lists",
-    "window_user_counts", "online_regression_words", "compare_tag_count_updates", "compare_users",
-])
-def test_stays_in_the_jvm_without_cross_joins(spark, name):
-    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
-    for node in ("Python", "Pandas", "Cartesian", "NestedLoop"):
-        assert node not in text
+@pytest.fixture
+def plans_of(spark, monkeypatch):
+    """All plans that a query runs, those behind its checkpoints too."""
+
+    def run(name, sf_dir):
+        seen, checkpoint = [], DataFrame.checkpoint
+
+        def recorded(df, *args):
+            seen.append(plan(df))
+            return checkpoint(df, *args)
+
+        monkeypatch.setattr(DataFrame, "checkpoint", recorded)
+        last = plan(QUERIES[name](spark, sf_dir))
+        return [*seen, last]
+
+    return run
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_") and n != "raw_log_copy"))
+def test_stays_in_the_jvm_without_cross_joins(plans_of, name):
+    for text in plans_of(name, "/root/testdata/sf0.001"):
+        for node in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"):
+            assert node not in text
+
+
+@pytest.mark.parametrize("name, key", [("compare_users", "tag"), ("compare_country_tags", "country"), ("compare_users_longer_record", "tag")])
+def test_parts_are_not_joined_on_the_bare_key(spark, plans_of, name, key):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        last = plans_of(name, "/root/testdata/sf0.001")[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in last.splitlines() if "SortMergeJoin" in line]
+    assert joins and all("part#" in line for line in joins)
+    assert not any("LeftSemi" in line for line in joins)
 
 
 def test_scan_reads_only_what_is_needed(spark, sf_dir):
