@@ -8,7 +8,6 @@ from tagpulse.llm import licenses, main_text, mixing, neighbours, packing, secre
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES = {}
-ORACLES = {}
 
 
 def query(function):

@@ -154,3 +154,15 @@ def test_negative_and_largest_ids(spark):
 def test_packed_arrays():
     arrays = [np.array([1, 2, 3], np.uint64), np.array([], np.uint64), np.array([2**40], np.uint64), np.array([300] * 3, np.uint64)]
     assert [a.tolist() for a in substrings.unpack_arrays(substrings.pack_arrays(*arrays))] == [a.tolist() for a in arrays]
+
+
+def test_repeated_passages_query_against_sql(spark):
+    from oracle import database, spark_rows, sql_rows, sql_types
+
+    from tagpulse.llm.oracles import ORACLES
+
+    sf = "/root/testdata/sf0.01"
+    for name, sql in ORACLES.items():
+        df = QUERIES[name](spark, sf)
+        assert dict(df.dtypes) == sql_types(database(sf), sql)
+        assert spark_rows(df) == sql_rows(database(sf), sql)
