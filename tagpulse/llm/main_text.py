@@ -31,6 +31,7 @@ NAMES = frozenset(
     "recommendations newsletter subscribe subscription signup login search paywall skip tags".split())
 TEXTUAL = frozenset("html body article main".split())  # their names say nothing about what is in them
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
+BESIDE = re.compile(r"(?:has|with|no|without|is)[-_]")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -39,25 +40,29 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.parent, self.path, self.tag, self.barred, self.link = [-1], [0], ["#root"], [False], [False]
+        self.parent, self.path, self.tag, self.barred, self.link, self.heading = [-1], [0], ["#root"], [False], [False], [False]
         self.paths: dict[tuple[int, str], int] = {}
+        self.within = [False]  # an article or the main part
         self.open = [0]
+        self.opened: dict[str, int] = defaultdict(int)
         self.block = 0
         self.texts: list[tuple[int, int, str]] = []
         self.feed(html)
         self.close()
 
-    def _barred(self, tag: str, attributes: dict[str, str]) -> bool:
+    def _names(self, attributes: dict[str, str]) -> set[str]:
+        """The words in class and id; a name such as has-sidebar is of what is beside, not of what is in the element."""
+        named = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+        return {part.lower() for name in named if not BESIDE.match(name) for part in NAME_PARTS.findall(name)}
+
+    def _barred(self, tag: str, attributes: dict[str, str], heads: bool) -> bool:
         if tag in NEVER or "hidden" in attributes or attributes.get("aria-hidden") == "true":
             return True
-        if tag == "header":  # of the page; an article's own holds its heading
-            return not any(self.tag[e] in ("article", "main") for e in self.open)
         if tag in TEXTUAL:
             return False
         if attributes.get("role", "").lower() in ROLES or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
             return True
-        named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        return any(part.lower() in NAMES for part in NAME_PARTS.findall(named))
+        return not heads and (tag == "header" or bool(self._names(attributes) & NAMES))
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -77,17 +82,27 @@ class Page(HTMLParser):
         self.path.append(self.paths.setdefault((self.path[up], label), len(self.paths) + 1))
         self.parent.append(up)
         self.tag.append(tag)
-        inside_header = self.tag[up] == "header" and tag not in HEADINGS and tag != "div"
-        self.barred.append(self.barred[up] or inside_header or self._barred(tag, attributes))
+        # a header is the page's; one within an article holds its heading, of which that much is kept
+        within = self.within[up]
+        heads = within and (tag == "header" or "header" in self._names(attributes))
+        beside = self.heading[up] and tag not in HEADINGS and tag not in INLINE and tag != "div"
+        self.heading.append(heads or self.heading[up] and tag == "div")
+        self.barred.append(self.barred[up] or beside or self._barred(tag, attributes, heads))
         self.link.append(self.link[up] or tag == "a")
+        self.within.append(within or tag in ("article", "main"))
         self.open.append(len(self.parent) - 1)
+        self.opened[tag] += 1
 
     def _close(self, tags: set[str], until: set[str] | None):
         """Ends the innermost open element of `tags` and what is in it, unless one of `until` (None: of those that
         are not inline) is in between."""
+        if not any(self.opened[t] for t in tags):
+            return
         for k in range(len(self.open) - 1, 0, -1):
             name = self.tag[self.open[k]]
             if name in tags:
+                for e in self.open[k:]:
+                    self.opened[self.tag[e]] -= 1
                 del self.open[k:]
                 return
             if name not in INLINE if until is None else name in until:

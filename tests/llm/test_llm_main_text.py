@@ -23,6 +23,20 @@ def test_page():
         "The second & last paragraph, which is longer than the first, by far.")
 
 
+def test_names_say_what_is_in_an_element():
+    body = "".join(f"<p>Paragraph {k} has words, commas, and a full stop.</p>" for k in range(4))
+    text = " ".join(f"Paragraph {k} has words, commas, and a full stop." for k in range(4))
+    beside = "<div class='{}'><p>Some other words, much longer than any paragraph there is, go here and on and on, and on.</p></div>"
+    for layout in ("<div class='layout has-sidebar'>{}</div>", "<div id=main-content>{}</div>", "<main>{}</main>", "<table><tr><td>{}</table>"):
+        for name in ("sidebar", "site-footer", "cookieNotice", "ad ad-top", "reader-comments", "navbar"):
+            assert main_text("<body>" + layout.format(body) + beside.format(name) + "</body>") == text
+            assert main_text("<body>" + beside.format(name) + layout.format(body) + "</body>") == text
+            assert main_text("<body>" + layout.format(body + beside.format(name)) + "</body>") == text
+    head = "<article><header class='post-header'><h1>A title</h1><p>By someone</p></header>" + body + "</article>"
+    assert main_text("<header><h1>Site</h1></header>" + head) == "A title " + text
+    assert main_text("<article><div class=entry-header><h1>A title</h1></div>" + body + "</article>") == "A title " + text
+
+
 def test_odd_pages():
     assert main_text("") == ""
     assert main_text("plain  text\nonly") == "plain text only"
