@@ -1,4 +1,4 @@
-"""Near-duplicates by SimHash: fingerprints that differ in few bits share whole blocks of bits."""
+"""Near-duplicates: by SimHash, as fingerprints that differ in few bits share whole blocks of bits; and by shared shingles."""
 
 from collections.abc import Iterator
 from itertools import accumulate, combinations
@@ -161,44 +161,141 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: i
     return prints.join(classes, "bits").select("doc_id", "bits", "component_id")
 
 
-def word_prints(docs: DataFrame, seeds: tuple[int, ...]) -> DataFrame:
-    """(doc_id, words, bits): a hash of each text's words, and a SimHash of its distinct words for each seed."""
+def text_shingles(found: list[bytes], words: int = 5) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct runs of `words` words; of all words, if there are fewer; none for no words."""
+    words = min(words, len(found))
+    if not words:
+        return np.empty(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    own = np.array([digest(w) for w in found], np.uint64)
+    count = len(own) - words + 1
+    runs = np.zeros(count, np.uint64)
+    for k in range(words):
+        runs = (runs ^ own[k:k + count]) * np.uint64(0x9E3779B97F4A7C15)
+        runs ^= runs >> np.uint64(29)
+    return np.unique(runs)
+
+
+def band_keys(shingles: np.ndarray, bands: int, rows: int, step: int = 1024) -> np.ndarray:
+    """One key for each band of `rows` MinHashes: two texts have a band's key in common with the chance similarity ** rows."""
+    if not len(shingles):
+        return np.empty(0, np.uint64)
+    odd = np.array([xxhash.xxh64_intdigest(b"minhash", k) | 1 for k in range(bands * rows)], np.uint64)[:, None]
+    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(shingles), step):
+        np.minimum(least, (odd * shingles[k:k + step]).min(1), out=least)
+    return np.array([xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(least.reshape(bands, rows))], np.uint64)
+
+
+def band_prints(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, words, size, keys): a hash of each text's words, how many distinct shingles it has, and its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            whole, bits = [], []
+            whole, sizes, keys = [], [], []
             for text in batch.column(1):
                 found = (text.as_py() or b"").lower().split()
-                distinct = set(found)
-                whole.append(digest(b" ".join(found)))
-                bits.append(np.array([majority_bits(np.array([digest(w, s) for w in distinct], np.uint64)) for s in seeds], np.uint64).view(np.int64))
+                shingles = text_shingles(found, words)
+                whole.append(xxhash.xxh64_intdigest(b" ".join(found)))
+                sizes.append(len(shingles))
+                keys.append(band_keys(shingles, bands, rows).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(bits, pa.list_(pa.int64()))],
-                names=["doc_id", "words", "bits"])
+                [batch.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "words", "size", "keys"])
+
+    return docs.mapInArrow(run, "doc_id long, words long, size long, keys array<long>")
 
-    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return chosen.mapInArrow(run, "doc_id long, words long, bits array<long>")
 
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(words, shingles): the hash of a text's words as in `band_prints`, and its distinct shingles; a text once."""
 
-def similar_documents(docs: DataFrame, seeds: tuple[int, ...] = (11, 12, 13, 14), distance: int = 4, members: int = 4096) -> DataFrame:
-    """Per document: doc_id and component_id over near copies, those that share 0.8 and more of their five-word shingles.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                texts = [(t.as_py() or b"").lower().split() for t in batch.column(1)[k:k + 256]]
+                whole = np.array([xxhash.xxh64_intdigest(b" ".join(t)) for t in texts], np.uint64)
+                sets = [text_shingles(t, words).view(np.int64) for t in texts]
+                yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], names=["words", "shingles"])
 
-    Such copies differ in one word of forty, which changes a tenth of the shingles' bits, ten of 64: too many for shared blocks
-    of bits. Of their distinct words they share 0.95, so fingerprints of these differ in four bits on the average. Texts are
-    linked if one of several independent fingerprints is at most `distance` bits apart. Rows as in `near_duplicates`.
+    return docs.mapInArrow(run, "words long, shingles array<long>").dropDuplicates(["words"])
+
+
+def similar_forest(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links between sorted sets that connect them exactly as all pairs of a Jaccard similarity of `least` and more would."""
+    sizes = np.array([len(s) for s in sets])
+    links, rest = [], np.arange(len(sets))
+    while len(rest) > 1:
+        reached, rest = [rest[0]], rest[1:]
+        while reached and len(rest):
+            at = reached.pop()
+            own, size = sets[at], sizes[at]
+            if not size:
+                continue
+            fits = np.flatnonzero((sizes[rest] >= least * size * 0.999) & (sizes[rest] * least * 0.999 <= size) & (sizes[rest] > 0))
+            if not len(fits):
+                continue
+            other = rest[fits]
+            values = np.concatenate([sets[k] for k in other])
+            same = own[np.minimum(np.searchsorted(own, values), size - 1)] == values
+            shared = np.add.reduceat(same, np.r_[0, np.cumsum(sizes[other])[:-1]], dtype=np.int64)
+            found = shared / (size + sizes[other] - shared) >= least
+            links.extend((at, k) for k in other[found])
+            reached.extend(other[found])
+            rest = np.delete(rest, fits[found])
+    return links
+
+
+def _similar_forests(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, texts, sets = None, [], []
+
+        def links() -> pa.RecordBatch:
+            pairs = np.array(similar_forest(sets, least), np.int64).reshape(-1, 2)
+            of = np.array(texts, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(of[pairs[:, 0]]), pa.array(of[pairs[:, 1]])], names=["left", "right"])
+
+        for batch in batches:
+            groups = zip(*(batch.column(k).to_pylist() for k in range(3)))
+            for group, text, found in zip(groups, batch.column(3).to_pylist(), batch.column(4)):
+                if group != now:
+                    if len(sets) > 1:
+                        yield links()
+                    now, texts, sets = group, [], []
+                texts.append(text)
+                sets.append(found.values.to_numpy().view(np.uint64))
+        if len(sets) > 1:
+            yield links()
+
+    return run
+
+
+def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, bands: int = 24, rows: int = 6, members: int = 4096, held: int = 1 << 21) -> DataFrame:
+    """Per document: doc_id and component_id over near copies, those that share `least` and more of their distinct shingles.
+
+    Candidates have a band of MinHashes in common: of pairs at 0.8 that misses (1 - 0.8 ** 6) ** 24, one in 1,460, and less above,
+    wherever the copies differ. The texts of each band's key meet with all of their shingles and are linked where these are alike
+    enough, and nowhere else; bands that bring the same texts together count once. A group of over `members` texts or `held`
+    shingles is cut into parts, and every two parts meet in a task of their own; from each comes a forest, as in `near_links`.
+    Texts are compared by 64-bit hashes, lower-cased in A-Z. Rows as in `near_duplicates`.
     """
-    prints = checkpointed(word_prints(docs, seeds))
-    texts = checkpointed(prints.groupBy("words").agg(F.min("doc_id").alias("first"), F.any_value("bits").alias("bits")))
-    own = texts.select("words", F.posexplode("bits").alias("kind", "bits"))
-    values = checkpointed(own.groupBy("kind", "bits").agg(F.min("words").alias("least")))
-    near = near_links(values.select("kind", "bits"), distance, members, len(seeds))
-    ends = [values.select("kind", F.col("bits").alias(c), F.col("least").alias(f"_{c}")) for c in ("left", "right")]
-    between = near.join(ends[0], ["kind", "left"]).join(ends[1], ["kind", "right"])
-    between = between.select(F.col("_left").alias("left"), F.col("_right").alias("right"))
-    alike = own.join(values, ["kind", "bits"]).where("words <> least").select(F.col("words").alias("left"), F.col("least").alias("right"))
-    links = between.union(alike)
-    roots = components(links).select(F.col("node").alias("words"), "root")
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    prints = checkpointed(band_prints(docs, words, bands, rows))
+    texts = checkpointed(prints.groupBy("words").agg(F.min("doc_id").alias("first"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys")))
+    keyed = texts.select("words", "size", F.explode("keys").alias("key"))
+    groups = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"), F.bit_xor(F.xxhash64("words")).alias("who")).where("n > 1")
+    groups = groups.groupBy("who", "n", "shingles").agg(F.min("key").alias("key"))
+    parts = F.greatest(F.ceil(F.col("n") / members), F.ceil(F.col("shingles") / held)).cast("int")
+    cells = checkpointed(
+        keyed.join(groups.select("key", parts.alias("parts")), "key")
+        .withColumn("own", F.pmod(F.xxhash64("words"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "words"))
+    wanted = texts.join(cells.select("words").distinct(), "words", "left_semi").where("first is not null").select(F.col("first").alias("doc_id"))
+    chosen = docs.join(wanted, "doc_id", "left_semi").union(docs.where("doc_id is null"))
+    group = ["key", "a", "b"]
+    dealt = cells.join(shingle_sets(chosen, words), "words").select(*group, "words", "shingles").repartition(*group).sortWithinPartitions(*group)
+    roots = components(dealt.mapInArrow(_similar_forests(least), "left long, right long"))
+    roots = roots.select(F.col("node").alias("words"), "root")
     rooted = texts.join(roots, "words", "left").select("words", "first", F.coalesce("root", "words").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(smallest, "root").select("words", "component_id")

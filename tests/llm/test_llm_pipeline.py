@@ -1,6 +1,8 @@
+import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_data import documents, prose
 from test_llm_native import base_spans
@@ -111,6 +113,38 @@ def test_near_copies_of_long_chains(spark):
     assert kept == {0} | set(range(100, 120))
 
 
+def test_copies_that_differ_by_a_block_go(spark):
+    r = random.Random(3)
+    text = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for k in range(60):
+        own, other, at = text(400), text(80 if k % 2 else 20), r.randrange(400)
+        copy = [own + other, own[:330], own[:at] + other + own[at:]][k % 3]
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(copy))]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in rows])
+    assert all(len(shingles(a) & shingles(b)) >= 0.8 * len(shingles(a) | shingles(b)) for (_, a), (_, b) in zip(rows[::2], rows[1::2]))
+    found = {x.doc_id: x.component_id for x in simhash.similar_documents(docs, members=8).collect()}
+    assert found == {i: i // 2 * 2 for i, _ in rows}
+
+
+def test_forests_of_similar_sets():
+    r = np.random.default_rng(2)
+    base = [r.choice(10**6, 60, replace=False) for _ in range(6)]
+    sets = [np.unique(np.r_[r.choice(base[k % 6], 57, replace=False), r.choice(10**6, k % 4)]).astype(np.uint64) for k in range(90)] + [np.empty(0, np.uint64)] * 2
+    alike = lambda a, b: len(a) > 0 and len(np.intersect1d(a, b)) / len(np.union1d(a, b)) >= 0.8
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if alike(sets[a], sets[b])]
+    links = simhash.similar_forest(sets, 0.8)
+
+    def roots(links):
+        root = list(range(len(sets)))
+        for a, b in links:
+            root = [min(root[a], root[b]) if x in (root[a], root[b]) else x for x in root]
+        return root
+
+    assert roots(links) == roots(pairs) and len(links) < len(sets) < len(pairs)
+    assert all(alike(sets[a], sets[b]) for a, b in links)
+
+
 def test_odd_documents_pass_every_stage(spark):
     docs = documents(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:
