@@ -113,6 +113,19 @@ def test_near_copies_of_long_chains(spark):
     assert kept == {0} | set(range(100, 120))
 
 
+def test_only_near_copies_go(stages):
+    before = {r.doc_id: r.text for r in stages[1].collect()}
+    after = {r.doc_id for r in stages[2].collect()}
+    sets = {i: shingles(t) for i, t in before.items()}
+    holders = defaultdict(set)
+    for i, s in sets.items():
+        for x in s:
+            holders[x].add(i)
+    for a in before.keys() - after:
+        near = set().union(*(holders[x] for x in sets[a])) - {a}
+        assert max(len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in near) >= 0.8
+
+
 def test_copies_that_differ_by_a_block_go(spark):
     r = random.Random(3)
     text = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
@@ -127,6 +140,12 @@ def test_copies_that_differ_by_a_block_go(spark):
     assert found == {i: i // 2 * 2 for i, _ in rows}
 
 
+def test_unlike_texts_of_few_words_stay(spark):
+    rows = [(k, prose(3000, 100 + k), None, None, None) for k in range(20)]
+    docs = documents(spark, rows)
+    assert {x.doc_id for x in simhash.keep_one(docs, simhash.similar_documents(docs)).collect()} == set(range(20))
+
+
 def test_forests_of_similar_sets():
     r = np.random.default_rng(2)
     base = [r.choice(10**6, 60, replace=False) for _ in range(6)]
