@@ -169,19 +169,31 @@ def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
 
 
 def redact(docs: DataFrame, rate: float = 0.05, mark: str = "[SECRET]") -> DataFrame:
-    """`docs` with the match of every secret in `text` replaced by `mark`, and n_chars, where there is one, counted anew.
+    """`docs` with every secret in `text` replaced by `mark`, and n_chars, where there is one, counted anew.
 
+    Spans that overlap are one and get one mark. A secret's string goes wherever else it stands in its text, longest first.
     Secrets meet the documents by a hash of the text, so a NULL doc_id or a repeated row changes nothing. All rows and other
     columns stay as they are.
     """
     key = F.xxhash64("text").alias("text_key")
     found = secrets(docs.select(F.monotonically_increasing_id().alias("row"), key, "text"), rate)
+    along = Window.partitionBy("text_key").orderBy("start", "end", "match")
+    ends = found.where("kind >= 0").select("text_key", "start", "end", "match").distinct().withColumn(
+        "reached", F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1)))
+    merged = (
+        ends.withColumn("of", F.count_if(F.col("reached").isNull() | (F.col("start") >= F.col("reached"))).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("text_key", "of").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.collect_set("match").alias("matches")))
     longest_first = lambda a, b: F.char_length(b) - F.char_length(a)
-    listed = (
-        found.where("kind >= 0").groupBy("text_key").agg(F.collect_set("match").alias("matches"))
-        .withColumn("matches", F.array_sort("matches", longest_first)))
+    listed = merged.groupBy("text_key").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("places"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("matches"))), longest_first).alias("matches"))
     whole = docs.select(F.struct(*docs.columns).alias("doc"), key)  # so that no column of docs clashes with another
-    clean = F.aggregate("matches", F.col("doc.text"), lambda text, match: F.replace(text, match, F.lit(mark)))
+    text = F.col("doc.text")
+    starts, stops = (F.col(f"places.{c}").cast("array<int>") for c in ("start", "end"))
+    pieces = F.zip_with(
+        F.concat(F.array(F.lit(0)), stops), F.concat(starts, F.array(F.char_length(text))), lambda a, b: F.substring(text, a + 1, b - a))
+    left = F.transform(pieces, lambda piece: F.aggregate("matches", piece, lambda rest, match: F.replace(rest, match, F.lit(mark))))
+    clean = F.array_join(left, mark)
     doc = F.col("doc").withField("text", clean)
     if "n_chars" in docs.columns:
         doc = doc.withField("n_chars", F.char_length(clean).cast(docs.schema["n_chars"].dataType))

@@ -9,7 +9,7 @@ from test_llm_native import base_spans
 from test_llm_packing import check
 
 import corpus_pipeline
-from tagpulse.llm import mixing, packing, simhash, toxicity
+from tagpulse.llm import mixing, packing, secret_scan, simhash, toxicity
 from tagpulse.llm.queries import QUERIES, TOKENIZER, table
 
 SF = "/root/testdata/sf0.01"
@@ -164,6 +164,15 @@ def test_forests_of_similar_sets():
     assert all(alike(sets[a], sets[b]) for a, b in links)
 
 
+def test_overlapping_secrets_go_whole(spark):
+    random_key = "".join(random.Random(7).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=40))
+    texts = ["😀 é MyApp2-Staging-DB-Password=hunter2xyz and on", f"{random_key}_token=abcdefgh1 x", f"a password={random_key} b password={random_key}", "nothing", None]
+    docs = documents(spark, [(k, t, None, None, 1) for k, t in enumerate(texts)])
+    out = {r.doc_id: (r.text, r.n_chars) for r in secret_scan.redact(docs).collect()}
+    assert [out[k][0] for k in range(5)] == ["😀 é [SECRET] and on", "[SECRET] x", "a [SECRET] b [SECRET]", "nothing", None]
+    assert out[0][1] == len(out[0][0]) and out[3][1] == 1
+
+
 def test_odd_documents_pass_every_stage(spark):
     docs = documents(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:
