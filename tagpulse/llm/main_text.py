@@ -29,6 +29,7 @@ NAMES = frozenset(
     "widget widgets cookie cookies consent gdpr notice notices notification alert alerts popup modal overlay disclaimer copyright "
     "comment comments commentlist commentary reply replies respond discussion disqus feedback share sharing social related recommended "
     "recommendations newsletter subscribe subscription signup login search paywall skip tags".split())
+WIDE = frozenset("#root html body".split())
 TEXTUAL = frozenset("html body article main".split())  # their names say nothing about what is in them
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
 BESIDE = re.compile(r"(?:has|with|no|without|is)[-_]")
@@ -43,6 +44,7 @@ class Page(HTMLParser):
         self.parent, self.path, self.tag, self.barred, self.link, self.heading = [-1], [0], ["#root"], [False], [False], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.within = [False]  # an article or the main part
+        self.part = [False]  # the element itself is one
         self.open = [0]
         self.opened: dict[str, int] = defaultdict(int)
         self.block = 0
@@ -89,7 +91,8 @@ class Page(HTMLParser):
         self.heading.append(heads or self.heading[up] and tag == "div")
         self.barred.append(self.barred[up] or beside or self._barred(tag, attributes, heads))
         self.link.append(self.link[up] or tag == "a")
-        self.within.append(within or tag in ("article", "main"))
+        self.part.append(tag in ("article", "main") or attributes.get("role", "").lower() in ("article", "main"))
+        self.within.append(within or self.part[-1])
         self.open.append(len(self.parent) - 1)
         self.opened[tag] += 1
 
@@ -161,23 +164,37 @@ def main_text(html: str, strictness: float = 0.8, share: float = 0.8) -> str:
     content = content_elements(page, nodes, strictness)
     if not content.any():
         content[:] = True
-    weight = np.zeros(len(page.parent))
+    weight, number = np.zeros(len(page.parent)), np.zeros(len(page.parent), int)
     for (e, t), c in zip(nodes, content):
         weight[e] += len(t) * c
+        number[e] += c
     for e in range(len(weight) - 1, 0, -1):  # parents come before their children
         weight[page.parent[e]] += weight[e]
-    home = max(e for e in range(len(weight)) if weight[e] >= share * weight[0] and page.tag[e] not in INLINE and page.tag[e] != "p" or e == 0)
-    inside = np.zeros(len(weight), bool)
+        number[page.parent[e]] += number[e]
+    blocks_only = [e == 0 or page.tag[e] not in INLINE and page.tag[e] != "p" for e in range(len(weight))]
+    home = max(e for e in range(len(weight)) if number[e] == number[0] and blocks_only[e])
+    core = max(e for e in range(len(weight)) if weight[e] >= share * weight[0] and blocks_only[e] or e == 0)
+    if page.tag[home] in WIDE:  # some is far from the rest: all of what holds most of it, and of the others the content
+        home = core
+    if page.within[home]:
+        while not page.part[home]:
+            home = page.parent[home]
+    inside, block = np.zeros(len(weight), bool), [0] * len(weight)
     inside[home] = True
-    for e in range(home + 1, len(weight)):
-        inside[e] = inside[page.parent[e]]
+    for e in range(1, len(weight)):
+        inside[e] |= inside[page.parent[e]]
+        block[e] = block[page.parent[e]] if page.tag[e] in INLINE else e
+
+    chosen = {b for (_, b, _), c in zip((x for x in shown if x[2].strip()), content) if c}
+    beside = {page.parent[block[e]] for (e, _), c in zip(nodes, content) if c}
+    chosen |= {b for e, b, _ in shown if page.tag[block[e]] in HEADINGS and page.parent[block[e]] in beside}
     linked, total, blocks = defaultdict(int), defaultdict(int), defaultdict(list)
     for e, b, t in shown:
-        if inside[e]:
+        if inside[e] or b in chosen:
             blocks[b].append(t)
             total[b] += len(t.strip())
             linked[b] += len(t.strip()) * page.link[e]
-    lists = {b for e, b, t in shown if inside[e] and page.tag[e] in ("a", "li") and total[b] and linked[b] == total[b]}
+    lists = {b for e, b, t in shown if page.tag[e] in ("a", "li") and total[b] and linked[b] == total[b]}
     lines = (" ".join("".join(parts).split()) for b, parts in blocks.items() if b not in lists)
     return " ".join(line for line in lines if line)
 
@@ -187,8 +204,9 @@ def extract(pages: DataFrame, strictness: float = 0.8, share: float = 0.8) -> Da
 
     Text nodes outside what never is article (scripts, menus, forms and the like, by element, role or name) are grouped by
     their root-to-leaf tag path. Content paths are those with much text and punctuation per node, smoothed along the page.
-    The innermost element with `share` of their text holds the article: all of it is kept, short paragraphs and
-    headings too, but blocks that are nothing but links.
+    The innermost element around all of them, or the article or main part that it is in, is the article: all of it is kept,
+    short paragraphs and headings too, but blocks that are nothing but links. Where that is the whole body, it is the innermost with `share` of their
+    text, and outside it what is on content paths, with the headings beside, is kept as well.
 
     Per row: page_id, url, text (blocks in page order, one space between; empty if none), n_chars (code points). A NULL html is
     an empty one; NULL ids and urls are kept; repeated rows come out once each; an empty table gives no rows; other columns are

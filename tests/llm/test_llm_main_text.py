@@ -37,6 +37,21 @@ def test_names_say_what_is_in_an_element():
     assert main_text("<article><div class=entry-header><h1>A title</h1></div>" + body + "</article>") == "A title " + text
 
 
+def paragraphs(count, first=0):
+    texts = [f"Paragraph {k} has words, commas, and a full stop." for k in range(first, first + count)]
+    return "".join(f"<p>{t}</p>" for t in texts), " ".join(texts)
+
+
+def test_all_of_the_article_stays():
+    (body, text), (lead, lead_text), (end, end_text) = paragraphs(12), paragraphs(1, 50), paragraphs(1, 60)
+    whole = f"A title {lead_text} {text} {end_text}"
+    for nested in ("<div class=entry-content>{}</div>", "<section>{}</section>", "<blockquote>{}</blockquote>", "<table><tr><td>{}</td></tr></table>", "<ul><li>{}</li></ul>"):
+        page = f"<h1>A title</h1>{lead}{nested.format(body)}{end}"
+        for around in ("<article>{}</article>", "<main>{}</main>", "<div role=main>{}</div>", "<div class=post>{}</div>", "{}"):
+            html_page = "<body><nav>Home</nav>" + around.format(page) + "<footer>(c) someone</footer></body>"
+            assert main_text(html_page) == whole, (nested, around)
+
+
 def test_odd_pages():
     assert main_text("") == ""
     assert main_text("plain  text\nonly") == "plain text only"
