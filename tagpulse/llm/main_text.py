@@ -29,6 +29,10 @@ NAMES = frozenset(
     "widget widgets cookie cookies consent gdpr notice notices notification alert alerts popup modal overlay disclaimer copyright "
     "comment comments commentlist commentary reply replies respond discussion disqus feedback share sharing social related recommended "
     "recommendations newsletter subscribe subscription signup login search paywall skip tags".split())
+# Of these, names that within an article can be of its text, such as a box of notes or a section on related work.
+PROSE = frozenset("notice notices notification alert alerts disclaimer copyright commentary discussion feedback related recommended "
+                  "recommendations search header respond reply replies skip login signup subscription".split())
+SLUGGED = HEADINGS | frozenset("section p blockquote pre li td th dt dd figure table".split())  # their ids are made from headings
 WIDE = frozenset("#root html body".split())
 TEXTUAL = frozenset("html body article main".split())  # their names say nothing about what is in them
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
@@ -52,19 +56,29 @@ class Page(HTMLParser):
         self.feed(html)
         self.close()
 
-    def _names(self, attributes: dict[str, str]) -> set[str]:
-        """The words in class and id; a name such as has-sidebar is of what is beside, not of what is in the element."""
-        named = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
-        return {part.lower() for name in named if not BESIDE.match(name) for part in NAME_PARTS.findall(name)}
+    def _names(self, named: str) -> set[str]:
+        """The words in class or id; a name such as has-sidebar is of what is beside, not of what is in the element."""
+        return {part.lower() for name in named.split() if not BESIDE.match(name) for part in NAME_PARTS.findall(name)}
 
-    def _barred(self, tag: str, attributes: dict[str, str], heads: bool) -> bool:
+    def _beside(self, tag: str, attributes: dict[str, str], within: bool) -> bool:
+        """Whether class or id say that the element is not of the text. Ids of headings, sections and
+        the like are made from headings and say nothing. Within an article no heading is barred, classes count by the names
+        that are not of prose, and ids by the same if they are such a name as a whole."""
+        classes, own = self._names(attributes.get("class", "")), attributes.get("id", "")
+        if within and tag in HEADINGS:
+            return False
+        if not within:
+            return bool(classes & NAMES) or tag not in SLUGGED and bool(self._names(own) & NAMES)
+        return bool(classes & (NAMES - PROSE)) or tag not in SLUGGED and own.lower() in NAMES - PROSE
+
+    def _barred(self, tag: str, attributes: dict[str, str], heads: bool, within: bool) -> bool:
         if tag in NEVER or "hidden" in attributes or attributes.get("aria-hidden") == "true":
             return True
         if tag in TEXTUAL:
             return False
-        if attributes.get("role", "").lower() in ROLES or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
+        if attributes.get("role", "").lower() in ROLES - ({"alert"} if within else set()) or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
             return True
-        return not heads and (tag == "header" or bool(self._names(attributes) & NAMES))
+        return not heads and (tag == "header" or self._beside(tag, attributes, within))
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -86,10 +100,10 @@ class Page(HTMLParser):
         self.tag.append(tag)
         # a header is the page's; one within an article holds its heading, of which that much is kept
         within = self.within[up]
-        heads = within and (tag == "header" or "header" in self._names(attributes))
+        heads = within and (tag == "header" or "header" in self._names(f"{attributes.get('class', '')} {attributes.get('id', '')}"))
         beside = self.heading[up] and tag not in HEADINGS and tag not in INLINE and tag != "div"
         self.heading.append(heads or self.heading[up] and tag == "div")
-        self.barred.append(self.barred[up] or beside or self._barred(tag, attributes, heads))
+        self.barred.append(self.barred[up] or beside or self._barred(tag, attributes, heads, within))
         self.link.append(self.link[up] or tag == "a")
         self.part.append(tag in ("article", "main") or attributes.get("role", "").lower() in ("article", "main"))
         self.within.append(within or self.part[-1])
@@ -179,10 +193,11 @@ def main_text(html: str, strictness: float = 0.8, share: float = 0.8) -> str:
     if page.within[home]:
         while not page.part[home]:
             home = page.parent[home]
-    inside, block = np.zeros(len(weight), bool), [0] * len(weight)
-    inside[home] = True
+    inside, most, block = np.zeros(len(weight), bool), np.zeros(len(weight), bool), [0] * len(weight)
+    inside[home], most[core] = True, page.tag[core] not in WIDE
     for e in range(1, len(weight)):
         inside[e] |= inside[page.parent[e]]
+        most[e] |= most[page.parent[e]]
         block[e] = block[page.parent[e]] if page.tag[e] in INLINE else e
 
     chosen = {b for (_, b, _), c in zip((x for x in shown if x[2].strip()), content) if c}
@@ -194,7 +209,9 @@ def main_text(html: str, strictness: float = 0.8, share: float = 0.8) -> str:
             blocks[b].append(t)
             total[b] += len(t.strip())
             linked[b] += len(t.strip()) * page.link[e]
-    lists = {b for e, b, t in shown if page.tag[e] in ("a", "li") and total[b] and linked[b] == total[b]}
+    # in an article or amid most of the text a list of links is of the text; elsewhere it can be a menu
+    lists = {b for e, b, t in shown
+             if not page.within[e] and not most[e] and b not in chosen and page.tag[e] in ("a", "li") and total[b] and linked[b] == total[b]}
     lines = (" ".join("".join(parts).split()) for b, parts in blocks.items() if b not in lists)
     return " ".join(line for line in lines if line)
 
@@ -205,8 +222,9 @@ def extract(pages: DataFrame, strictness: float = 0.8, share: float = 0.8) -> Da
     Text nodes outside what never is article (scripts, menus, forms and the like, by element, role or name) are grouped by
     their root-to-leaf tag path. Content paths are those with much text and punctuation per node, smoothed along the page.
     The innermost element around all of them, or the article or main part that it is in, is the article: all of it is kept,
-    short paragraphs and headings too, but blocks that are nothing but links. Where that is the whole body, it is the innermost with `share` of their
-    text, and outside it what is on content paths, with the headings beside, is kept as well.
+    short paragraphs, headings and lists of links too. Where that is the whole body, it is the innermost with `share` of their
+    text, and outside it what is on content paths, with the headings beside, is kept as well. Blocks that are nothing but
+    links go outside articles and outside of what holds that share.
 
     Per row: page_id, url, text (blocks in page order, one space between; empty if none), n_chars (code points). A NULL html is
     an empty one; NULL ids and urls are kept; repeated rows come out once each; an empty table gives no rows; other columns are

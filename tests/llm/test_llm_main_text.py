@@ -52,6 +52,26 @@ def test_all_of_the_article_stays():
             assert main_text(html_page) == whole, (nested, around)
 
 
+def test_names_made_from_headings_bar_nothing():
+    body, text = paragraphs(6)
+    more, more_text = paragraphs(2, 50)
+    for part in ("<section id=discussion>{}</section>", "<div class=alert>{}</div>", "<div id=notices>{}</div>", "<div class=section id=related-work>{}</div>"):
+        assert main_text("<article>" + body + part.format("<h2 id=search-and-replace>A heading</h2>" + more) + "</article>") == f"{text} A heading {more_text}"
+    assert main_text("<article>" + body + "<h2 id=related-work>A heading</h2><p id=notices>A short one, here.</p></article>") == text + " A heading A short one, here."
+    assert main_text("<body><div class=post>" + body + "<section id=discussion><h2 id=comments>A heading</h2>" + more + "</section></div>") == f"{text} A heading {more_text}"
+
+
+def test_lists_of_links_in_an_article_stay():
+    body, text = paragraphs(6)
+    links = "<h2>References</h2><ol><li><a href=/a>First work</a><li><a href=/b>Second work</a></ol>"
+    for around in ("<article>{}</article>", "<main><div>{}</div></main>", "<div class=post>{}</div>"):
+        menu = "<ul class=menu><li><a href=/c>Home</a></ul>"
+        assert main_text("<body>" + menu + around.format(body + links) + menu) == text + " References First work Second work"
+    (body, text), far = paragraphs(12), "<div class=bio><p>Words on the one who wrote all this, with commas, and full stops. And more.</p></div>"
+    page = "<div id=page><ul><li><a href=/c>Home</a></ul><div class=post>" + body + "</div>" + far + "</div>"
+    assert main_text(page) == text + " Words on the one who wrote all this, with commas, and full stops. And more."
+
+
 def test_odd_pages():
     assert main_text("") == ""
     assert main_text("plain  text\nonly") == "plain text only"
