@@ -4,9 +4,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagpulse.llm import licenses, main_text, mixing, neighbours, packing, secret_scan, simhash, sketches, substrings, toxicity
+from tagpulse.llm import (
+    licenses, main_text, mixing, neighbours, packing, pieces, secret_scan, simhash, sketches, substrings, toxicity,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 QUERIES = {}
 
 
@@ -83,3 +86,13 @@ def op10_toxicity(spark, sf_dir) -> DataFrame:
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     held_out = F.coalesce(toxicity.fold(F.col("doc_id")) == 2, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_sentencepiece(spark, sf_dir) -> DataFrame:
+    """The piece ids of every document and the text that they decode to, as digests."""
+    found = pieces.encode(table(spark, sf_dir, "documents"), PIECES, decoded=True)
+    ids = F.array_join(F.transform("ids", lambda n: n.cast("string")), ",")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
