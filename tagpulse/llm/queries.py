@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagpulse.llm import (
-    licenses, main_text, mixing, neighbours, packing, pieces, secret_scan, simhash, sketches, substrings, toxicity,
+    licenses, main_text, mixing, neighbours, packing, pieces, secret_scan, simhash, sketches, substrings, toxicity, whitening,
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,6 +88,14 @@ def op10_toxicity(spark, sf_dir) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op12_whitening(spark, sf_dir) -> DataFrame:
+    """Every vector on the 32 leading components of the covariance of all, whitened."""
+    vectors = table(spark, sf_dir, "embeddings")
+    found = whitening.whiten(vectors, whitening.fit(vectors, components=32))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 @query
 def op13_sentencepiece(spark, sf_dir) -> DataFrame:
     """The piece ids of every document and the text that they decode to, as digests."""
