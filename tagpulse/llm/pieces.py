@@ -155,7 +155,8 @@ class PieceTokens:
         if (min(self._byte) < 0 or library.normalize(probe) != SPACE + probe.replace(" ", SPACE)
                 or not all(_CHUNKS.fullmatch(p) for p in self.ids)):
             raise ValueError(f"{path}: needs byte pieces, identity normalisation, and pieces of spaces and one kind of characters")
-        #: The bytes of all pieces one after the other, where each begins, and its length.
+        self.entries = parts  # the bytes that each id stands for
+        #: The same one after the other, where each begins, and its length.
         self.bytes = np.frombuffer(b"".join(parts), np.uint8)
         self.sizes = np.array([len(p) for p in parts], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes

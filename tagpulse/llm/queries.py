@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagpulse.llm import (
-    licenses, main_text, mixing, neighbours, packing, pieces, secret_scan, simhash, sketches, substrings, toxicity, whitening,
+    alignment, licenses, main_text, mixing, neighbours, packing, pieces, secret_scan, simhash, sketches, substrings, toxicity, whitening,
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,6 +88,12 @@ def op10_toxicity(spark, sf_dir) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_tokenizer_alignment(spark, sf_dir) -> DataFrame:
+    """How the byte-level tokens of every document line up with its pieces, and how common the linked ids are."""
+    return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 @query
 def op12_whitening(spark, sf_dir) -> DataFrame:
     """Every vector on the 32 leading components of the covariance of all, whitened."""

@@ -32,9 +32,21 @@ class ByteTokens:
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
         ranks = byte_ranks({entry: n for entry, n in vocabulary.items() if entry not in self._special})
+        self._ranks = ranks
         self._fast = tiktoken.Encoding("file", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self._special):
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return self._fast.encode_to_numpy(text, disallowed_special=()).tobytes()
+
+    def plain(self, text: str):
+        """Ids as a uint32 array, where a special token's string is ordinary text."""
+        return self._fast.encode_to_numpy(text, disallowed_special=())
+
+    def entries(self) -> list[bytes]:
+        """The bytes that each id stands for; none for special tokens."""
+        found = [b""] * (max(self._ranks.values()) + 1)
+        for entry, n in self._ranks.items():
+            found[n] = entry
+        return found
