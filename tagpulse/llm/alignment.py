@@ -13,7 +13,7 @@ from tagpulse.llm.pieces import PieceTokens
 from tagpulse.llm.tokens import ByteTokens
 from tagpulse.session import fresh_folder
 
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 BLOCKS_BITS = 16  # blocks of one partition
 PLACE_BITS = 26  # distinct pairs of one block
 LINKS = 1 << 21  # links held at a time

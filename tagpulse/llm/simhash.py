@@ -7,7 +7,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagpulse.llm.components import components
@@ -161,6 +161,16 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: i
     return prints.join(classes, "bits").select("doc_id", "bits", "component_id")
 
 
+WORDS_SEED = 42  # that of the engine's own hash, so that `words_hash` gives the same
+
+
+def words_hash(text: Column) -> Column:
+    """The hash of a text's words, lower-cased in A-Z, as `band_prints` has it; a NULL is an empty text."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    found = F.split(F.translate(F.coalesce(text, F.lit("")), upper, upper.lower()), r"[\x20\x09-\x0D]+")
+    return F.xxhash64(F.array_join(F.array_remove(found, ""), " "))
+
+
 def text_shingles(found: list[bytes], words: int = 5) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct runs of `words` words; of all words, if there are fewer; none for no words."""
     words = min(words, len(found))
@@ -196,7 +206,7 @@ def band_prints(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame
             for text in batch.column(1):
                 found = (text.as_py() or b"").lower().split()
                 shingles = text_shingles(found, words)
-                whole.append(xxhash.xxh64_intdigest(b" ".join(found)))
+                whole.append(xxhash.xxh64_intdigest(b" ".join(found), WORDS_SEED))
                 sizes.append(len(shingles))
                 keys.append(band_keys(shingles, bands, rows).view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -213,7 +223,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 texts = [(t.as_py() or b"").lower().split() for t in batch.column(1)[k:k + 256]]
-                whole = np.array([xxhash.xxh64_intdigest(b" ".join(t)) for t in texts], np.uint64)
+                whole = np.array([xxhash.xxh64_intdigest(b" ".join(t), WORDS_SEED) for t in texts], np.uint64)
                 sets = [text_shingles(t, words).view(np.int64) for t in texts]
                 yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], names=["words", "shingles"])
 
@@ -270,7 +280,9 @@ def _similar_forests(least: float):
 
 
 def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, bands: int = 24, rows: int = 6, members: int = 4096, held: int = 1 << 21) -> DataFrame:
-    """Per document: doc_id and component_id over near copies, those that share `least` and more of their distinct shingles.
+    """Per document: doc_id, words (the hash of its text's words), component_id over near copies, those that share `least` and more
+    of their distinct shingles, and stays: whether this text under this id stands for its component (of several texts of the
+    smallest id the one of the smallest hash).
 
     Candidates have a band of MinHashes in common: of pairs at 0.8 that misses (1 - 0.8 ** 6) ** 24, one in 1,460, and less above,
     wherever the copies differ. The texts of each band's key meet with all of their shingles and are linked where these are alike
@@ -297,14 +309,23 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, bands
     roots = components(dealt.mapInArrow(_similar_forests(least), "left long, right long"))
     roots = roots.select(F.col("node").alias("words"), "root")
     rooted = texts.join(roots, "words", "left").select("words", "first", F.coalesce("root", "words").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("words", "component_id")
-    return prints.join(classes, "words").select("doc_id", "component_id")
+    own = F.when(F.col("first").isNotNull(), F.struct("first", "words"))
+    smallest = rooted.groupBy("root").agg(F.min(own).alias("kept"))
+    classes = rooted.join(smallest, "root").select("words", "kept.first", F.col("kept.words").alias("of"))
+    stays = (F.col("doc_id") == F.col("first")) & (F.col("words") == F.col("of"))
+    return prints.join(classes, "words").select(
+        "doc_id", "words", F.col("first").alias("component_id"), F.coalesce(stays, F.lit(False)).alias("stays"))
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """`docs` with one row of each component in `found` (doc_id, component_id): that of its smallest doc_id. Rows without a
-    doc_id stay; of rows with one doc_id one stays."""
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    ids = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return ids.select(*docs.columns).union(docs.where("doc_id is null"))
+    """`docs` with one row of each component in `found` (doc_id, words, stays): the text of its smallest doc_id that stays there.
+
+    Several texts under one id are told apart: each goes or stays with its own component. Rows without a doc_id stay, as nothing
+    tells them apart; of rows with one doc_id and the same words that of the smallest text stays.
+    """
+    kept = found.where("stays").select(F.col("doc_id").alias("_id"), F.col("words").alias("_words")).distinct()
+    whole = F.struct(*docs.columns)
+    rows = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("_id"), words_hash(F.col("text")).alias("_words"), whole.alias("_row"))
+    ids = rows.join(kept, ["_id", "_words"], "left_semi").groupBy("_id", "_words").agg(F.min_by("_row", F.struct("_row.text")).alias("_row"))
+    return ids.select("_row.*").union(docs.where("doc_id is null"))

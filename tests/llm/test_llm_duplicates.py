@@ -1,11 +1,13 @@
 import hashlib
+import itertools
 import random
 import re
 
 import numpy as np
 import pytest
 import xxhash
-from llm_data import documents, ascii_lower, odd_rows, prose
+from llm_data import documents, ascii_lower, prose
+from pyspark.sql import functions as F
 
 from tagpulse.llm import simhash, substrings
 from tagpulse.llm.components import components
@@ -86,14 +88,59 @@ def test_chains_of_links(spark):
     assert found == {k: 0 for k in range(1, 201)} | {1001: 1000}
 
 
+def words_of(text):
+    return tuple(re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(text or "")))
+
+
+def expected_to_stay(rows):
+    """(doc_id, words) that stay, by comparing all pairs of texts."""
+    texts = {}
+    for i, t in rows:
+        if i is not None:
+            texts[words_of(t)] = min(texts.get(words_of(t), 2**63), i)
+        else:
+            texts.setdefault(words_of(t), 2**63)
+    shingles = {w: {w[k:k + 5] for k in range(max(len(w) - 4, 1))} for w in texts}
+    root = {w: w for w in texts}
+
+    def top(w):
+        return w if root[w] == w else top(root[w])
+
+    for a, b in itertools.combinations(texts, 2):
+        if a and b and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]):
+            root[top(a)] = top(b)
+    groups = {}
+    for w, i in texts.items():
+        groups.setdefault(top(w), []).append((i, w))
+    return [min(members)[0] for members in groups.values() if min(members)[0] != 2**63], groups
+
+
 def test_one_of_each_group_stays(spark):
     docs = documents(spark)
     kept = simhash.keep_one(docs, simhash.similar_documents(docs))
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert ids.count(None) == 2  # without an id they can't be told apart
-    # 2, 3 and 12 have no words, 5 to 7 are copies, 16 and the largest are equal; each row of an id once
-    assert sorted(i for i in ids if i is not None) == sorted({i for i, *_ in odd_rows() if i is not None} - {3, 12, 6, 7, 2**62})
+    rows = kept.collect()
+    ids, groups = expected_to_stay([(r.doc_id, r.text) for r in docs.collect()])
+    assert sum(r.doc_id is None for r in rows) == 2  # without an id they can't be told apart
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted(ids)
+    found = {words_of(r.text) for r in rows if r.doc_id is not None}
+    assert all(sum(w in found for _, w in members) == 1 for members in groups.values() if min(members)[0] != 2**63)
+
+
+def test_texts_under_one_id_go_or_stay_by_themselves(spark):
+    shared, own, last = prose(60, 30), prose(60, 31), prose(60, 32)
+    rows = [(1, shared), (8, shared.upper()), (8, own), (9, own + " "), (8, last), (8, last), (2, own.replace(own.split()[0], "first", 1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 5):
+        dealt = docs.repartition(parts)
+        kept = simhash.keep_one(dealt, simhash.similar_documents(dealt)).collect()
+        assert sorted((r.doc_id, words_of(r.text)) for r in kept) == sorted([(1, words_of(shared)), (2, words_of(rows[6][1])), (8, words_of(last))])
+
+
+def test_hashes_of_words_agree(spark):
+    docs = documents(spark, clashing=False).select("doc_id", F.col("text").cast("binary").alias("text"))
+    theirs = sorted(r.words for r in simhash.band_prints(docs, 5, 2, 2).collect())
+    assert theirs == sorted(r.w for r in documents(spark).select(simhash.words_hash(F.col("text")).alias("w")).collect())
 
 
 def expected_removal(rows, width=13):
