@@ -109,47 +109,52 @@ def _solved(matrix: np.ndarray, shift: float, vector: np.ndarray) -> np.ndarray:
     return vector
 
 
-def rayleigh(matrix: np.ndarray, fine: np.ndarray, low: float, high: float, others: list[np.ndarray], alone: bool):
-    """The eigenvalue in [low, high) and its unit vector, orthogonal to `others`.
+def rayleigh(matrix: np.ndarray, fine: np.ndarray, low: float, high: float, number: int, others: list[np.ndarray]):
+    """Eigenvalue `number` (from 1, falling), which lies in [low, high), and its unit vector, orthogonal to `others`.
 
-    Each step solves with the Rayleigh quotient as the shift, which converges cubically. A quotient that leaves the interval is
-    drawn back: inertia counts at a quotient halve the interval, as by then it holds a single eigenvalue. The last steps take
-    their residual from `fine`, the matrix in extended precision.
+    Each step solves with the Rayleigh quotient as the shift, which converges cubically. It ends with an eigenvalue of another number
+    only if one is near an end of the interval; inertia counts tell, and then halve the interval. The last steps take their residual
+    from `fine`, the matrix in extended precision. Raises ArithmeticError if no count certifies the number.
     """
     n = len(matrix)
-    slack = 16 * EPS * max(abs(low), abs(high), float(np.abs(matrix).max()))
-    below = inertia_below(matrix, low)
-    vector = _apart(np.random.default_rng(len(others)).standard_normal(n), others)
-    shift = (low + high) / 2
-    for _ in range(60):
-        vector = _apart(_solved(matrix, shift, vector), others)
-        value = float(vector @ matrix @ vector)
-        residual = matrix @ vector - value * vector
-        inside = low - slack <= value <= high + slack
-        if inside and np.sqrt(residual @ residual) <= slack:
-            break
-        if inside:
-            shift = value
-            continue
-        middle = (low + high) / 2
-        if high - low > slack:
-            if inertia_below(matrix, middle) > below:
-                high = middle
-            else:
-                low = middle
+    scale = float(np.abs(matrix).max())
+    slack, margin = 16 * EPS * scale, 16 * n * EPS * scale
+
+    def above(shift):
+        return n - inertia_below(matrix, shift)
+
+    for attempt in range(80):
         shift = (low + high) / 2
+        vector = _apart(np.random.default_rng(attempt).standard_normal(n), others)
+        for _ in range(20):
+            vector = _apart(_solved(matrix, shift, vector), others)
+            shift = float(vector @ matrix @ vector)
+            residual = matrix @ vector - shift * vector
+            small = np.sqrt(residual @ residual) <= slack * n**0.5
+            if small or not low - margin <= shift <= high + margin:
+                break
+        if small and above(shift + margin) < number <= above(shift - margin):
+            return _refined(matrix, fine, vector, others)
+        if high - low > slack:
+            middle = (low + high) / 2
+            low, high = (middle, high) if above(middle) >= number else (low, middle)
+    raise ArithmeticError(f"inertia counts don't put eigenvalue {number} at {shift}")
+
+
+def _refined(matrix, fine, vector, others):
+    """Newton's steps for an eigenvalue and its vector, by which the system is bordered; one of several eigenvalues that doubles
+    can't part has no vector of its own and stays."""
     vector = vector.astype(np.longdouble)
     value = vector @ fine @ vector
-    # Newton's steps for a lone pair, bordered by its vector; one of several that doubles can't part has no vector of its own
-    for _ in range(0 if others or not alone else 3):
+    for _ in range(0 if others else 3):
         residual = fine @ vector - value * vector
         border = vector.astype(float)[:, None]
-        system = np.block([[matrix - float(value) * np.eye(n), border], [border.T, np.zeros((1, 1))]])
+        system = np.block([[matrix - float(value) * np.eye(len(matrix)), border], [border.T, np.zeros((1, 1))]])
         try:
-            step = np.linalg.solve(system, np.append(-residual.astype(float), 0.0))[:n]
+            step = np.linalg.solve(system, np.append(-residual.astype(float), 0.0))[:-1]
         except np.linalg.LinAlgError:
             break
-        if step @ step > 1e-6:
+        if not step @ step < 1e-12:
             break
         vector = vector + step
         vector = vector / np.sqrt(vector @ vector)
@@ -159,28 +164,26 @@ def rayleigh(matrix: np.ndarray, fine: np.ndarray, low: float, high: float, othe
 
 def leading_pairs(fine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k largest eigenvalues, falling, and unit vectors (as rows) of a symmetric matrix in extended precision; fewer where
-    the others are zero as far as doubles tell. Raises ArithmeticError where counts don't certify a number."""
-    matrix = fine.astype(float)
-    trace = float(np.trace(fine))
-    n = len(matrix)
-    values, vectors = [], []
-    if not trace > 0:
-        return np.zeros(0), np.zeros((0, n))
-    unit = matrix / trace
-    fine_unit = fine / np.trace(fine)
-    for low, high, first, last in isolate(unit, k):
-        same: list[np.ndarray] = []  # vectors of eigenvalues that doubles can't part are any orthonormal ones
-        for number in range(first, min(last, k) + 1):
-            value, vector = rayleigh(unit, fine_unit, low, high, same, first == last)
-            if value <= 4 * n * EPS:
-                return np.array(values), np.array(vectors).reshape(len(values), n)
-            margin = 16 * n * EPS
-            if not n - inertia_below(unit, float(value) + margin) < number <= n - inertia_below(unit, float(value) - margin):
-                raise ArithmeticError(f"inertia counts put another eigenvalue than number {number} at {value}")
-            same.append(vector.astype(float))
-            values.append(float(value * np.trace(fine)))
-            vectors.append(vector.astype(float))
-    return np.array(values), np.array(vectors).reshape(len(values), n)
+    the others are zero as far as doubles tell."""
+    trace = np.trace(fine)
+    n = len(fine)
+    values: list[float] = []
+    vectors: list[np.ndarray] = []
+    if trace > 0:
+        unit = (fine / trace).astype(float)
+        for low, high, first, last in isolate(unit, k):
+            same: list[np.ndarray] = []  # vectors of eigenvalues that doubles can't part are any orthonormal ones
+            for number in range(first, min(last, k) + 1):
+                value, vector = rayleigh(unit, fine / trace, low, high, number, same)
+                if value <= 4 * n * EPS:
+                    break
+                # vectors of near eigenvalues are orthogonal only as far as these are apart
+                near = [v for v, e in zip(vectors, values) if e - float(value) < 1e-3 * values[0]]
+                vector = _apart(vector.astype(float), near)
+                same.append(vector)
+                values.append(float(value))
+                vectors.append(vector)
+    return np.array(values) * float(trace), np.array(vectors).reshape(len(values), n)
 
 
 # ---- vectors, exact sums

@@ -85,7 +85,7 @@ def test_query(spark):
 def odd(spark):
     r = np.random.default_rng(1)
     rows = [(k, r.standard_normal(5).tolist()) for k in range(40)]
-    bad = [(100, None), (101, [1.0, None, 0, 0, 0]), (102, [float("nan")] * 5), (103, [float("inf"), 0, 0, 0, 0]), (104, []), (105, [1.0, 2.0]), (106, [1e300] * 5)]
+    bad = [(100, None), (101, [1.0, None, 0.0, 0.0, 0.0]), (102, [float("nan")] * 5), (103, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (104, []), (105, [1.0, 2.0]), (106, [1e300] * 5)]
     good = [*rows, (None, [0.1] * 5), (7, rows[7][1]), (200, [1e9, -1e9, 3.0, 0.0, 5.5])]
     return good, spark.createDataFrame([*good, *bad], "vec_id long, embedding array<double>").withColumns({"n": F.lit("x"), "component": F.lit("x"), "key": F.lit("x"), "v": F.lit(1)})
 
