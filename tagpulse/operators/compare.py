@@ -23,10 +23,10 @@ def compare_counts(recorded: DataFrame, live: DataFrame) -> DataFrame:
     """(tag, result) from two tables of (tag, uses). `live` may be a streaming aggregate."""
     known = recorded.select("tag", F.col("uses").alias("_recorded"))
     return live.join(known, "tag", "left").select(
-        "tag", label(_or_none("_recorded"), F.col("uses").cast("string")).alias("result"))
+        "tag", label(known_or_none("_recorded"), F.col("uses").cast("string")).alias("result"))
 
 
-def _or_none(name) -> Column:
+def known_or_none(name) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(MISSING))
 
 
@@ -35,16 +35,18 @@ def _part_or_none(name) -> Column:
     return F.coalesce(F.col(name), F.when(F.col("part") == 0, F.lit(MISSING)).otherwise(F.lit("")))
 
 
-def compare_lists(recorded: DataFrame, live: DataFrame, key, item) -> DataFrame:
+def compare_lists(recorded: DataFrame, live: DataFrame, key, item, last: DataFrame | None = None) -> DataFrame:
     """(key, part, result) from two tables of (key, part, item), part by part.
 
     Where the recorded list is longer, its further parts stand beside nothing. They hang on part 0 of the live list: that row
     learns how many recorded parts there are and opens a cell for each, so no join is on the bare key, however many parts it
     has. `live` may also be the parts that a batch has touched: a list that is still in its part 0 has that part among them.
+    `last` (key, part 0, number of the last part as `_last`) saves counting the recorded parts where that is known.
     """
     old = recorded.select(key, "part", F.col(item).alias("_recorded"))
     new = live.select(key, "part", F.col(item).alias("_live"))
-    last = recorded.groupBy(key).agg(F.max("part").alias("_last")).withColumn("part", F.lit(0).cast("long"))
+    if last is None:
+        last = recorded.groupBy(key).agg(F.max("part").alias("_last")).withColumn("part", F.lit(0).cast("long"))
     own = F.struct("part", "_live")
     further = F.transform(
         F.sequence(F.lit(1).cast("long"), "_last"), lambda p: F.struct(p.alias("part"), F.lit(None).cast("string").alias("_live")))
@@ -79,7 +81,7 @@ def compare_count_updates(recorded: DataFrame, live_rows: DataFrame, ranges=None
     """One row per live use of a tag: its running count beside the recorded count."""
     known = recorded.select("tag", F.col("uses").alias("_recorded"))
     return running_counts(live_rows, known, ranges).select(
-        "tag", *ARRIVAL, label(_or_none("_recorded"), F.col("uses").cast("string")).alias("result"))
+        "tag", *ARRIVAL, label(known_or_none("_recorded"), F.col("uses").cast("string")).alias("result"))
 
 
 def compare_user_updates(recorded: DataFrame, live_rows: DataFrame, part_size=PART, ranges=None) -> DataFrame:

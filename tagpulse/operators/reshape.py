@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagpulse.functions.text import json_quoted
-from tagpulse.operators.ordering import lists_in_parts, numbered
+from tagpulse.operators.ordering import lists_in_parts, numbered, numbered_as_read
 
 # fixed value: the "other time" of a START row
 NO_TIME = "1970-01-01 00:00:00"
@@ -69,10 +69,17 @@ def _field(number) -> Column:
     return F.coalesce(F.try_element_at("fields", F.lit(number)), F.lit(""))
 
 
+def _with_row_number(rows: DataFrame, order, ranges) -> DataFrame:
+    """By `order`; rows in the order of their files are numbered where they are."""
+    if list(order) == FILE_ORDER:
+        return numbered_as_read(rows, FILE_ORDER[:2], FILE_ORDER[2], "row_no")
+    return numbered(rows, [], order, "row_no", ranges, hold=False)
+
+
 def fares(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
-    """Row number and fields 1, 2, 4, 5, 9, 10, 11."""
+    """Row number and fields 1, 2, 4, 5, 9, 10, 11. Rows of files come out as they lie, a split's in order."""
     picked = rows.select(*order, *[_field(n).alias(f"c{n}") for n in (1, 2, 4, 5, 9, 10, 11)])
-    return numbered(picked, [], order, "row_no", ranges, hold=False).select(
+    return _with_row_number(picked, order, ranges).select(
         "row_no", *[f"c{n}" for n in (1, 2, 4, 5, 9, 10, 11)])
 
 
@@ -85,7 +92,7 @@ def trip_events(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
     """
     rest = ["c11", "c12", "c13", "c14", "c8", "c1", "c2"]
     picked = rows.select(*order, *[_field(n).alias(f"c{n}") for n in (1, 2, 6, 7, 8, 11, 12, 13, 14)])
-    rides = numbered(picked, [], order, "row_no", ranges, hold=False)
+    rides = _with_row_number(picked, order, ranges)
     time = lambda text: text.try_cast("timestamp_ntz")
     event = lambda kind, at, other: F.struct(F.lit(kind).alias("kind"), time(at).alias("at"), time(other).alias("other"))
     both = F.array(event("START", F.col("c6"), F.lit(NO_TIME)), event("END", F.col("c7"), F.col("c6")))
@@ -97,7 +104,7 @@ TRIP_ORDER = ["at", "other", "c11", "c12", "c13", "c14", "c8", "c1", "c2", "row_
 
 
 def trips(rows: DataFrame, order=FILE_ORDER, ranges=None) -> DataFrame:
-    """The rows of `trip_events` sorted by time: one layout for the row numbers, and one sort."""
+    """The rows of `trip_events` sorted by time; of files that sort is the only layout."""
     return trip_events(rows, order, ranges).orderBy(*TRIP_ORDER)
 
 

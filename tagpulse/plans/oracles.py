@@ -321,4 +321,22 @@ ORACLES = {
       FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY {ARRIVAL}) AS nth FROM dt) JOIN rec USING (tag)
       WHERE nth = 1 AND part > 0"""),
     "raw_log_copy": sql(DOCS, select=RAW),
+    "stream_finished_longest_word": sql(
+        DOC_TAGS, TOKENS, LONGEST.format(key=f"{window_s(20)},", where=f"tag IN ({TAG_LIST})").replace(
+            f"SELECT {window_s(20)},", f"SELECT {window_s(20)} AS window_s,"),
+        select="SELECT window_s, tag, word, length FROM ranked WHERE nth = 1"),
+    "stream_finished_avg_words": sql(DOC_TAGS, select=f"""
+      SELECT {window_s(600)} AS window_s, tag, {AVG_COLUMNS}, CAST(sum(words) AS BIGINT) AS words, max(us) AS last_us
+      FROM dt GROUP BY 1, 2"""),
+    "stream_finished_user_counts": sql(EVENT_TAGS, USER_CELLS, select="SELECT * FROM cells"),
+    "stream_finished_regression_scored": sql(DOC_TAGS, TOKENS, FIT, select=f"""
+      SELECT window_s, tag, tokens, longest, round(intercept + slope * tokens, 6) AS prediction
+      FROM (SELECT {window_s(10)} AS window_s, tag, CAST(sum(tokens) AS BIGINT) AS tokens, max(longest) AS longest
+            FROM dt JOIN tok_stats USING (tweet_id) GROUP BY 1, 2), model"""),
+    "stream_finished_online_regression": sql(EVENT_TAGS, USER_CELLS, USER_POINTS.format(where=""), online("points"), select="""
+      SELECT window_s, tag, uses, users, round(prediction, 6) AS prediction FROM preds"""),
+    "stream_finished_online_regression_words": sql(DOC_TAGS, WORD_CELLS.format(where=""), online("points"), select="""
+      SELECT window_s, tag, round(y, 6) AS avg_words, round(prediction, 6) AS prediction FROM preds"""),
 }
+ORACLES |= {
+    f"stream_{name}": ORACLES[name] for name in ("running_tag_count", "running_avg_words", "compare_tag_count_updates")}

@@ -10,8 +10,7 @@ from tagpulse.operators import aggregates as agg
 from tagpulse.operators import regression, reshape, views
 from tagpulse.session import checkpointed
 from tagpulse.sources.posts import parse_tweets
-from tagpulse.sources.sinks import to_updates
-from tagpulse.streaming import live
+from tagpulse.streaming import live, updates
 from tagpulse.streaming.lists import start_lists
 from tagpulse.streaming.online import start_online_regression
 
@@ -71,6 +70,16 @@ def live_longest_words(lines: DataFrame, width="20 seconds", tags=MUSIC_TAGS) ->
     return live.longest_words(parse_tweets(lines), width, tags)
 
 
+def start_tag_count_updates(lines: DataFrame, out, checkpoint, **options):
+    """The count after every use of a tag; `updates.read_updates` reads them."""
+    return updates.start_counts(views.tag_rows(views.english_with_text(parse_tweets(lines))), out, checkpoint, **options)
+
+
+def start_mean_words_updates(lines: DataFrame, out, checkpoint, tags=None, **options):
+    """The mean after every post of a tag, with its time; `updates.read_mean_words` reads them."""
+    return updates.start_mean_words(agg.post_words(parse_tweets(lines), tags), out, checkpoint, **options)
+
+
 def start_tags_per_country(lines: DataFrame, out, checkpoint, **options):
     return start_lists(views.country_tag(parse_tweets(lines)), "country", "tag", out, checkpoint, **options)
 
@@ -81,8 +90,16 @@ def start_users_per_tag(lines: DataFrame, out, checkpoint, **options):
 
 # live beside recorded; the recorded result is written out once, not computed again per batch
 
-def start_compare_counts(recorded: DataFrame, lines: DataFrame, out, checkpoint, trigger=PACE):
-    return to_updates(live.compared_counts(parse_tweets(lines), checkpointed(tag_counts(recorded))), out, checkpoint, trigger)
+def start_compare_counts(recorded: DataFrame, lines: DataFrame, out, checkpoint, trigger=PACE, **options):
+    """The current count of each tag beside the recorded one, once per batch; `updates.read_latest_counts` reads it."""
+    return updates.start_latest_counts(
+        live_tag_counts(lines), checkpointed(tag_counts(recorded)), out, checkpoint, trigger=trigger, **options)
+
+
+def start_compare_count_updates(recorded: DataFrame, lines: DataFrame, out, checkpoint, trigger=PACE, **options):
+    """The count after every use of a tag beside the recorded one; `updates.read_compared_counts` reads them."""
+    rows = views.tag_rows(views.english_with_text(parse_tweets(lines)))
+    return updates.start_compared_counts(rows, checkpointed(tag_counts(recorded)), out, checkpoint, trigger=trigger, **options)
 
 
 def start_compare_users(recorded: DataFrame, lines: DataFrame, out, checkpoint, part_size=agg.PART, trigger=PACE):

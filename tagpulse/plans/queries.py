@@ -14,7 +14,7 @@ from tagpulse.session import checkpointed, fresh_folder
 from tagpulse.sources.posts import parse_tweets, to_lines
 from tagpulse.sources.sinks import ONCE, copy_log, latest_updates, to_files, to_updates
 from tagpulse.sources.tables import from_documents, from_events, spread, stream_table, table
-from tagpulse.streaming import live
+from tagpulse.streaming import live, updates
 from tagpulse.streaming.lists import read_compared, read_lists, start_lists
 from tagpulse.streaming.online import read_predictions, start_online_regression
 
@@ -446,6 +446,82 @@ def stream_compare_country_tags(spark, sf_dir):
     return read_compared(spark, out, "country")
 
 
+# every single update of a stream
+
+@query
+def stream_running_tag_count(spark, sf_dir):
+    out = fresh_folder(spark, "count-updates")
+    rows = views.tag_rows(views.english_with_text(live_events(spark, sf_dir)))
+    updates.start_counts(rows, out, f"{out}/progress", trigger=ONCE).awaitTermination()
+    return plain(updates.read_updates(spark, out))
+
+
+@query
+def stream_running_avg_words(spark, sf_dir):
+    out = fresh_folder(spark, "mean-updates")
+    updates.start_mean_words(agg.post_words(live_docs(spark, sf_dir)), out, f"{out}/progress", trigger=ONCE).awaitTermination()
+    return plain(updates.read_mean_words(spark, out))
+
+
+@query
+def stream_compare_tag_count_updates(spark, sf_dir):
+    out = fresh_folder(spark, "compared-updates")
+    recorded = checkpointed(agg.tag_counts(views.tag_rows(views.english_with_text(docs(spark, sf_dir)))))
+    rows = views.tag_rows(views.english_with_text(live_events(spark, sf_dir)))
+    updates.start_compared_counts(rows, recorded, out, f"{out}/progress", trigger=ONCE).awaitTermination()
+    return plain(updates.read_compared_counts(spark, out))
+
+
+# streams that have ended: the last windows too
+
+def _finished(spark, name, tweets, windows, tags=("end",)) -> DataFrame:
+    out = fresh_folder(spark, name)
+    cells = windows(live.with_end(tweets, f"{out}/end"))
+    live.finish(lambda: to_files(cells, f"{out}/rows", f"{out}/progress", trigger=ONCE), spark, f"{out}/end", tags)
+    return plain(spark.read.schema(cells.schema).parquet(f"{out}/rows"))
+
+
+@query
+def stream_finished_longest_word(spark, sf_dir):
+    return _finished(spark, "all-longest", live_docs(spark, sf_dir), lambda t: live.longest_words(t, tags=TAGS), TAGS)
+
+
+@query
+def stream_finished_avg_words(spark, sf_dir):
+    return _finished(spark, "all-means", live_docs(spark, sf_dir), lambda t: live.window_mean_words(t, "10 minutes"))
+
+
+@query
+def stream_finished_user_counts(spark, sf_dir):
+    return _finished(spark, "all-users", live_events(spark, sf_dir), lambda t: live.window_users(t, "1 hour"))
+
+
+@query
+def stream_finished_regression_scored(spark, sf_dir):
+    model = checkpointed(regression.fit(agg.token_stats(agg.token_rows(docs(spark, sf_dir))), "tokens", "longest"))
+    return rounded(_finished(spark, "all-scores", live_docs(spark, sf_dir), lambda t: live.scored_token_stats(t, model)), "prediction")
+
+
+def _finished_regression(spark, name, tweets, windows, *columns, **options) -> DataFrame:
+    out = fresh_folder(spark, name)
+    cells = windows(live.with_end(tweets, f"{out}/end"))
+    live.finish(lambda: start_online_regression(cells, *columns, out, f"{out}/progress", trigger=ONCE, **options), spark, f"{out}/end")
+    return rounded(plain(read_predictions(spark, out)), "prediction")
+
+
+@query
+def stream_finished_online_regression(spark, sf_dir):
+    return _finished_regression(
+        spark, "whole-user-model", live_events(spark, sf_dir), lambda t: live.window_users(t, "1 hour"), "uses", "users")
+
+
+@query
+def stream_finished_online_regression_words(spark, sf_dir):
+    scored = _finished_regression(
+        spark, "whole-word-model", live_docs(spark, sf_dir), lambda t: live.window_mean_words(t, "1 minute"), "posts", "avg_words", xy="words")
+    return rounded(scored, "avg_words").select("window_s", "tag", "avg_words", "prediction")
+
+
 @query
 def raw_log_copy(spark, sf_dir):
     out = fresh_folder(spark, "log")

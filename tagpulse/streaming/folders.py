@@ -9,6 +9,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MERGED = "_merged"  # marks the folder of a batch that has the newest rows of all before it
+
 
 def write_batch(df: DataFrame, path, batch_id: int) -> DataFrame:
     """Write the batch's rows and return them read back: later steps do not compute them again."""
@@ -24,26 +26,35 @@ def read_batch(spark: SparkSession, path, batch_id: int, schema) -> DataFrame |
     return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
 
 
-def _batches(spark: SparkSession, path):
-    """The file system of `path` and the folders of its batches by number."""
+def files_of(spark: SparkSession, path):
+    """The file system of `path`, and the path for it."""
     root = spark._jvm.org.apache.hadoop.fs.Path(str(path))
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return files, {}
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+
+def numbered_folders(spark: SparkSession, path, name="batch_id") -> dict[int, str]:
+    """The folders `name`=n right under `path`, by n."""
+    files, root = files_of(spark, path)
     found = {}
-    for status in files.listStatus(root):
-        number = re.fullmatch(r"batch_id=(\d+)", status.getPath().getName())
-        if number:
-            found[int(number[1])] = status.getPath()
-    return files, found
+    if files.exists(root):
+        for status in files.listStatus(root):
+            number = re.fullmatch(rf"{name}=(\d+)", status.getPath().getName())
+            if number:
+                found[int(number[1])] = status.getPath().toString()
+    return found
 
 
 def drop_before(spark: SparkSession, path, batch_id: int) -> None:
     """Removes the folders of earlier batches."""
-    files, folders = _batches(spark, path)
-    for number, folder in folders.items():
+    for number, folder in numbered_folders(spark, path).items():
         if number < batch_id:
-            files.delete(folder, True)
+            files, at = files_of(spark, folder)
+            files.delete(at, True)
+
+
+def _exists(spark: SparkSession, path) -> bool:
+    files, at = files_of(spark, path)
+    return files.exists(at)
 
 
 def latest(log: DataFrame, keys) -> DataFrame:
@@ -56,17 +67,22 @@ def latest(log: DataFrame, keys) -> DataFrame:
 def compact(spark: SparkSession, path, batch_id: int, keys, every: int) -> None:
     """Every `every` batches, moves what older batches still have to say into the batch before the last but one.
 
-    That batch gets the newest rows of keys that it has not written itself; only then the older folders go. Done twice, or
-    broken off between the two, it changes nothing that `latest` shows.
+    That batch gets the newest rows of keys that it has not written itself. The older folders go one round later, so that a reader
+    that has listed them can still read them. Done twice, or broken off at any place, it changes nothing that `latest` shows.
     """
     target = batch_id - 2
     if every < 1 or batch_id % every or target < 0:
         return
-    _, folders = _batches(spark, path)
-    old = [str(folders[n].toString()) for n in sorted(folders) if n <= target]
+    folders = numbered_folders(spark, path)
+    merged = [n for n in folders if n < target and _exists(spark, f"{folders[n]}/{MERGED}")]
+    if merged:  # what is before it has been in it since the round before
+        drop_before(spark, path, max(merged))
+        folders = numbered_folders(spark, path)
+    old = [folders[n] for n in sorted(folders) if n <= target]
     if target not in folders or len(old) < 2:
         return
     log = spark.read.option("basePath", str(path)).parquet(*old)
     moved = latest(log, keys).where(F.col("batch_id") < target).drop("batch_id")
     moved.write.mode("append").parquet(f"{path}/batch_id={target}")
-    drop_before(spark, path, target)
+    files, mark = files_of(spark, f"{path}/batch_id={target}/{MERGED}")
+    files.create(mark, True).close()

@@ -68,3 +68,31 @@ def test_size_is_seen_while_writing(spark, tmp_path):
     df, seen = with_size(spark.range(7).select("id"))
     write_lines(df, str(tmp_path / "out"))
     assert seen.get == {"rows": 7}
+
+
+def test_rows_of_split_files_are_numbered_where_they_are(spark, tmp_path):
+    size, expected = "spark.sql.files.maxPartitionBytes", []
+    for n, count in enumerate((2000, 3, 700)):
+        lines = [f"{n}:{k},b,c,d,e,f,g,h,i,j,k" for k in range(count)]
+        (tmp_path / f"{n}.csv").write_text("\n".join(lines) + "\n")
+        expected += [line.split(",")[0] for line in lines]
+    before = spark.conf.get(size)
+    spark.conf.set(size, "3000")
+    try:
+        rows = programs.fare_lines(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 20
+        assert [r.c1 for r in sorted(rows.collect(), key=lambda r: r.row_no)] == expected
+        assert sorted(r.row_no for r in rows.collect()) == list(range(1, len(expected) + 1))
+    finally:
+        spark.conf.set(size, before)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("== Initial Plan ==")[0].splitlines() if "Exchange" in line and "Broadcast" not in line]
+    # only counts of splits are moved: by split, and into one order
+    assert len(moved) == 2 and all("rangepartitioning" not in line for line in moved)
+    assert rows.count() == len(expected) and "_shift" not in rows.columns
+
+
+def test_no_rows_to_number(spark, tmp_path):
+    (tmp_path / "none.csv").write_text("")
+    assert programs.fare_lines(spark, str(tmp_path)).collect() == []
+    assert programs.trip_lines(spark, str(tmp_path)).collect() == []

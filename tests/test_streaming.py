@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from fixtures import LINES, START, tuples, tweets_df
 from tagpulse.operators import aggregates as agg
-from tagpulse.operators import compare, regression, views
+from tagpulse.operators import compare, regression, running, views
 from tagpulse.plans import programs
 from tagpulse.schema import TWEET
 from tagpulse.sources import sinks
 from tagpulse.sources.sinks import ONCE
 from tagpulse.sources.posts import parse_tweets, read_lines, stream_lines
-from tagpulse.streaming import live
+from tagpulse.streaming import live, updates
+from tagpulse.streaming.keyed import KeyedTable, Record
 from tagpulse.streaming.lists import read_compared, read_lists, start_lists
 from tagpulse.streaming.online import read_predictions, start_online_regression
 
@@ -166,12 +167,17 @@ def test_programs_from_lines(spark, tmp_path):
     folder.mkdir()
     for n in range(3):
         (folder / f"{n}.json").write_text("\n".join(LINES), encoding="utf-8")
+        os.utime(folder / f"{n}.json", (1700000000 + n, 1700000000 + n))
     lines = stream_lines(spark, str(folder), 1)
     recorded = read_lines(spark, str(folder))
     out = lambda name: str(tmp_path / name)
     done(programs.start_compare_counts(recorded, lines, out("counts"), out("c1"), ONCE))
-    assert tuples(sinks.latest_updates(spark, out("counts"), ["tag"])) == [
+    assert tuples(updates.read_latest_counts(spark, out("counts"))) == [
         ("japan", "Batch-Value: 9  Stream-Value:9"), ("usa", "Batch-Value: 3  Stream-Value:3")]
+    done(programs.start_compare_count_updates(recorded, lines, out("each"), out("c6"), ONCE))
+    each = updates.read_compared_counts(spark, out("each")).orderBy("tag", "ts", "tweet_id", "tag_pos")
+    assert [r.result for r in each.collect()] == [
+        *[f"Batch-Value: 9  Stream-Value:{n}" for n in range(1, 10)], *[f"Batch-Value: 3  Stream-Value:{n}" for n in range(1, 4)]]
     done(programs.start_compare_users(recorded, lines, out("users"), out("c2"), trigger=ONCE))
     users = dict(tuples(read_compared(spark, out("users"), "tag"), "tag", "result"))
     assert users["usa"] == "Batch-Value: ann  Stream-Value:ann"
@@ -268,8 +274,10 @@ def test_live_tables_stay_small(spark, tmp_path):
         and tuples(read_compared(spark, out, "country")) == tuples(compare.compare_country_tags(recorded, agg.tags_per_country(rows, 4))))
     start()
     assert check()
-    count = lambda name: len([f for f in os.listdir(f"{out}/{name}") if f.startswith("batch_id=")])
-    assert (count("state"), count("items")) == (2, 1) and count("lists") <= 6 and count("compared") <= 6
+    # of a bucket: folders that have not been merged yet, a few that have been, and those that readers may still hold
+    count = lambda name: max(len(os.listdir(f"{out}/{name}/{b}")) for b in os.listdir(f"{out}/{name}") if b.startswith("bucket="))
+    assert len([f for f in os.listdir(f"{out}/items") if f.startswith("batch_id=")]) == 1
+    assert all(count(name) <= 13 for name in ("state", "lists", "compared"))
     last = max((f for f in os.listdir(tmp_path / "c" / "commits") if f.isdigit()), key=int)
     for name in (last, f".{last}.crc"):
         os.remove(tmp_path / "c" / "commits" / name)
@@ -278,5 +286,156 @@ def test_live_tables_stay_small(spark, tmp_path):
 
     log = str(tmp_path / "log")
     done(sinks.to_updates(live.tag_counts(stream), log, str(tmp_path / "c2"), ONCE, ["tag"], 4))
-    assert len([f for f in os.listdir(log) if f.startswith("batch_id=")]) <= 6
+    # what was merged in the last round stays for readers that have listed it
+    assert len([f for f in os.listdir(log) if f.startswith("batch_id=")]) <= 7
     assert tuples(sinks.latest_updates(spark, log, ["tag"])) == tuples(agg.tag_counts(views.tag_rows(views.english_with_text(tweets))))
+
+
+def repeat_last_batch(checkpoint):
+    """Loses the record that the last batch was finished."""
+    last = max((f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+
+
+def test_every_update_of_three_batches_one_repeated(spark, both):
+    tweets, stream, folder, tmp = both
+    rows, arriving = (views.tag_rows(views.english_with_text(t)) for t in (tweets, stream))
+    recorded = agg.tag_counts(rows.where("tag <> 'a'"))
+    starts = {
+        "counts": lambda: updates.start_counts(arriving, f"{tmp}/counts", f"{tmp}/c-counts", trigger=ONCE),
+        "means": lambda: updates.start_mean_words(agg.post_words(stream), f"{tmp}/means", f"{tmp}/c-means", trigger=ONCE),
+        "compared": lambda: updates.start_compared_counts(arriving, recorded, f"{tmp}/compared", f"{tmp}/c-compared", trigger=ONCE, compact_every=1, buckets=2)}
+    results = lambda: (
+        tuples(updates.read_updates(spark, f"{tmp}/counts")), tuples(updates.read_mean_words(spark, f"{tmp}/means")),
+        tuples(updates.read_compared_counts(spark, f"{tmp}/compared")))
+    expected = lambda t: (
+        tuples(running.running_counts(views.tag_rows(views.english_with_text(t)))), tuples(running.running_mean_words(agg.post_words(t))),
+        tuples(compare.compare_count_updates(recorded, views.tag_rows(views.english_with_text(t)))))
+    for start in starts.values():
+        done(start())
+    assert results() == expected(tweets)
+    assert len([f for f in os.listdir(f"{tmp}/counts/updates") if f.startswith("batch_id=")]) >= BATCHES
+    more = [dict(p, at=p["at"] + SECONDS * BATCHES) for p in posts()]
+    write_files(spark, folder, more, BATCHES)
+    for name, start in starts.items():
+        repeat_last_batch(f"{tmp}/c-{name}")
+        done(start())
+    assert results() == expected(tweets_df(spark, posts() + more))
+
+
+def bytes_by_batch(folder):
+    """Bytes of files in folders batch_id=n, at any depth."""
+    found = {}
+    for at, _, files in os.walk(folder):
+        number = [p for p in at.split("/") if p.startswith("batch_id=")]
+        if number:
+            found[int(number[-1][9:])] = found.get(int(number[-1][9:]), 0) + sum(
+                os.path.getsize(f"{at}/{f}") for f in files if f.endswith(".parquet"))
+    return found
+
+
+def test_a_batch_writes_what_it_touches(spark, tmp_path):
+    """The same two batches, after a first one of 20 and of 2,000 other keys: as many bytes."""
+    written = {}
+    for keys in (20, 2000):
+        folder = tmp_path / f"posts-{keys}"
+        folder.mkdir()
+        first = [dict(at=0, hashtags=[f"k{k}"], country=f"c{k}") for k in range(keys)]
+        data = [first, *[[dict(at=n, hashtags=["t"], country="new"), dict(at=n, hashtags=["u"], country="c1")] for n in (1, 2)]]
+        for n, some in enumerate(data):
+            df = tweets_df(spark, [dict(p, tweet_id=10_000 * n + i) for i, p in enumerate(some)])
+            df.coalesce(1).write.parquet(str(folder / f"part-{n}"))
+            for f in (folder / f"part-{n}").glob("*.parquet"):
+                f.rename(folder / f"{n}.parquet")
+            os.utime(folder / f"{n}.parquet", (1700000000 + n, 1700000000 + n))
+        stream = spark.readStream.schema(TWEET).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*.parquet")
+        out = tmp_path / f"out-{keys}"
+        recorded = agg.tags_per_country(views.country_tag(tweets_df(spark, first)), 4)
+        done(start_lists(views.country_tag(stream), "country", "tag", str(out), f"{out}-c", 4, recorded, trigger=ONCE, compact_every=1))
+        done(updates.start_counts(views.tag_rows(stream), f"{out}-n", f"{out}-n-c", trigger=ONCE, compact_every=1))
+        expected = agg.tags_per_country(views.country_tag(tweets_df(spark, sum(data, []))), 4)
+        assert tuples(read_lists(spark, str(out), "country").select("country", "part", F.concat(F.array_join("items", ";"), F.lit(";")))) == tuples(expected)
+        written[keys] = [
+            {n: size for n, size in bytes_by_batch(at).items() if n > 0} for at in (f"{out}/state", f"{out}/lists", f"{out}/compared", f"{out}-n/totals")]
+    for few, many in zip(written[20], written[2000]):
+        assert few.keys() == many.keys() and all(abs(few[n] - many[n]) < 200 for n in few)
+
+
+def test_a_record_is_read_by_the_buckets_of_the_keys(spark, tmp_path):
+    rows = tweets_df(spark, [dict(at=i, hashtags=[f"k{i % 500}"], user_name=f"u{i}") for i in range(1500)])
+    recorded = agg.users_per_tag(views.tag_user(rows), 2)
+    record = Record(recorded, str(tmp_path / "record"), "tag", 64)
+    whole = {f for f in spark.read.parquet(str(tmp_path / "record")).inputFiles()}
+    one = record.lookup(spark.createDataFrame([("k7",)], "tag string"))
+    assert len({os.path.dirname(f) for f in one.inputFiles()}) == 1 and len(whole) > 30
+    assert tuples(one) == [("k7", 0, "u7;u507", 1), ("k7", 1, "u1007", None)]
+    nothing = record.lookup(spark.createDataFrame([], "tag string"))
+    assert nothing.collect() == [] and nothing.columns == one.columns
+    before = {f: os.path.getmtime(f"{tmp_path}/record/{f}") for f in os.listdir(tmp_path / "record")}
+    again = Record(recorded, str(tmp_path / "record"), "tag", 64)  # written once
+    assert tuples(again.lookup(one.select("tag"))) == tuples(one)
+    assert before == {f: os.path.getmtime(f"{tmp_path}/record/{f}") for f in os.listdir(tmp_path / "record")}
+
+
+def test_keyed_tables_under_random_batches(spark, tmp_path):
+    """As a dictionary, with merges at every batch, batches repeated, and a reader that holds an old listing."""
+    rng = random.Random(2)
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], "k string, v long", 4)
+    known, held = {}, None
+    for batch in range(20):
+        size = 40 if batch % 8 == 0 else 3
+        rows = {f"k{rng.randrange(60)}": rng.randrange(1000) for _ in range(size)}
+        df = spark.createDataFrame(list(rows.items()), "k string, v long")
+        assert dict(tuples(table.lookup(df, batch))) == {k: known[k] for k in rows if k in known}
+        for _ in range(2 if batch % 5 == 0 else 1):
+            table.write(df, batch)
+            table.compact(batch)
+        known |= rows
+        assert dict(tuples(table.read())) == known
+        if batch == 12:
+            held, then = table.read(), dict(known)
+        if batch == 15:
+            assert dict(tuples(held)) == then  # merged since, not gone yet
+    assert max(len(os.listdir(tmp_path / "t" / f"bucket={b}")) for b in range(4)) <= 14
+
+
+def test_finished_streams_close_all_windows(spark, both):
+    tweets, stream, _, tmp = both
+    ended = lambda name: live.with_end(stream, f"{tmp}/{name}-end")
+    cases = {
+        "longest": (live.longest_words(ended("longest"), tags=["hot"]), agg.longest_words(agg.longest_word_rows(tweets, ["hot"]), "20 seconds")),
+        "means": (live.window_mean_words(ended("means"), "30 seconds"), agg.mean_words(agg.post_words(tweets), "30 seconds")),
+        "users": (live.window_users(ended("users")), agg.window_users(views.tag_user(tweets), "10 seconds")),
+    }
+    for name, (windows, expected) in cases.items():
+        start = lambda: sinks.to_files(windows, f"{tmp}/{name}", f"{tmp}/c-{name}", trigger=ONCE)
+        live.finish(start, spark, f"{tmp}/{name}-end", ["hot"])
+        assert tuples(spark.read.parquet(f"{tmp}/{name}")) == tuples(expected), name
+        live.finish(start, spark, f"{tmp}/{name}-end", ["hot"])  # after a failure: nothing twice
+        assert tuples(spark.read.parquet(f"{tmp}/{name}")) == tuples(expected), name
+    cells = live.window_users(ended("fit"))
+    live.finish(lambda: start_online_regression(cells, "uses", "users", f"{tmp}/fit", f"{tmp}/c-fit", trigger=ONCE), spark, f"{tmp}/fit-end")
+    whole = regression.online_predictions(agg.window_users(views.tag_user(tweets), "10 seconds"), "uses", "users")
+    assert rounded(read_predictions(spark, f"{tmp}/fit")) == rounded(whole)
+
+
+def test_a_large_file_is_read_by_many_tasks_in_order(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    size = "spark.sql.files.maxPartitionBytes"
+    for n, count in enumerate((3000, 5, 400)):
+        (folder / f"{n}.txt").write_text("".join(f"{n}:{k}\n" for k in range(count)) + "\n\nlast", encoding="utf-8")
+        os.utime(folder / f"{n}.txt", (1700000000 + n, 1700000000 + n))
+    before = spark.conf.get(size)
+    spark.conf.set(size, "2000")
+    try:
+        lines = stream_lines(spark, str(folder)).withColumn("task", F.spark_partition_id())
+        done(lines.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE).start())
+    finally:
+        spark.conf.set(size, before)
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("ts", "tweet_id").collect()
+    expected = [v for n, count in enumerate((3000, 5, 400)) for v in [*(f"{n}:{k}" for k in range(count)), "", "", "last"]]
+    assert [r.value for r in rows] == expected
+    assert len({r.tweet_id for r in rows if r.value.startswith("0:")}) == 3000
+    assert len({r.task for r in rows if r.value.startswith("0:")}) > 5
