@@ -3,7 +3,7 @@
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,13 @@ NAMES = frozenset(
     "widget widgets cookie cookies consent gdpr notice notices notification alert alerts popup modal overlay disclaimer copyright "
     "comment comments commentlist commentary reply replies respond discussion disqus feedback share sharing social related recommended "
     "recommendations newsletter subscribe subscription signup login search paywall skip tags".split())
-# Of these, names that within an article can be of its text, such as a box of notes or a section on related work.
-PROSE = frozenset("notice notices notification alert alerts disclaimer copyright commentary discussion feedback related recommended "
-                  "recommendations search header respond reply replies skip login signup subscription".split())
+# Of these, names that within an article can be of its text, such as a box of notes or a section on related work. They are of the
+# text if there is a heading inside, and most of what is inside is on content paths.
+PROSE = frozenset("notice notices notification alert alerts disclaimer copyright commentary feedback related recommended "
+                  "recommendations search header respond skip login signup subscription discussion".split())
+# Names of readers' comments and of what is at the side: as a class, or as an id or part of one, they bar an element. An id is let
+# pass if the heading inside says the same, as it is made from that heading then.
+READERS = frozenset("comment comments commentlist reply replies respond disqus sidebar".split())
 SLUGGED = HEADINGS | frozenset("section p blockquote pre li td th dt dd figure table".split())  # their ids are made from headings
 WIDE = frozenset("#root html body".split())
 TEXTUAL = frozenset("html body article main".split())  # their names say nothing about what is in them
@@ -40,47 +44,142 @@ BESIDE = re.compile(r"(?:has|with|no|without|is)[-_]")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-class Page(HTMLParser):
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:([\"'])|([^\s>]*)))?")
+_GAP = re.compile(r"[\s/]*")
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp")}
+
+
+def markup(page: str) -> Iterator[tuple[str, str, dict[str, str] | None]]:
+    """("start", tag, attributes), ("end", tag, None) and ("text", characters, None) of a page, in one pass.
+
+    What is begun and never ended (a comment, a tag, a quoted value, a script) ends with the page, so no part is looked through
+    twice, whatever is missing.
+    """
+    at, size = 0, len(page)
+    while at < size:
+        opened = page.find("<", at)
+        if opened < 0:
+            opened = size
+        if opened > at:
+            yield "text", unescape(page[at:opened]), None
+        at = opened
+        if at >= size:
+            return
+        if page.startswith("<!--", at):
+            if page.startswith(("<!-->", "<!--->"), at):
+                at = page.index(">", at) + 1
+                continue
+            end = page.find("-->", at + 4)
+            at = end + 3 if end >= 0 else size
+            continue
+        closing = page.startswith("/", at + 1)
+        name = _NAME.match(page, at + 1 + closing)
+        if not name:
+            if page[at + 1: at + 2] in ("!", "?", "/"):  # a declaration, or nothing that is known
+                end = page.find(">", at)
+                at = end + 1 if end >= 0 else size
+            else:
+                yield "text", "<", None
+                at += 1
+            continue
+        tag, at, attributes = name[0].lower(), name.end(), {}
+        while True:
+            at = _GAP.match(page, at).end()
+            if at >= size:
+                return
+            if page[at] == ">":
+                at += 1
+                break
+            found = _ATTRIBUTE.match(page, at)
+            at, value = found.end(), found[3] or ""
+            if found[2]:
+                end = page.find(found[2], at)
+                if end < 0:
+                    return
+                value, at = page[at:end], end + 1
+            attributes.setdefault(found[1].lower(), unescape(value))
+        if closing:
+            yield "end", tag, None
+            continue
+        yield "start", tag, attributes
+        if tag in RAW:
+            end = RAW[tag].search(page, at)
+            at = end.start() if end else size
+
+
+class Page:
     """A page's elements and texts as flat lists: an element knows its parent, path and place; a text its element and block."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.parent, self.path, self.tag, self.barred, self.link, self.heading = [-1], [0], ["#root"], [False], [False], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.within = [False]  # an article or the main part
         self.part = [False]  # the element itself is one
+        self.slug: dict[int, str] = {}  # the ids that bar their elements unless a heading inside says the same
+        self.holder = [0]  # the innermost element around that is not inline, or itself
+        self.doubtful: list[int] = []  # elements with names that may be of the text
         self.open = [0]
         self.opened: dict[str, int] = defaultdict(int)
         self.block = 0
         self.texts: list[tuple[int, int, str]] = []
-        self.feed(html)
-        self.close()
+        for kind, what, attributes in markup(html):
+            if kind == "text":
+                self.texts.append((self.open[-1], self.block, what))
+            elif kind == "start":
+                self._start(what, attributes)
+            else:
+                self._end(what)
+        self._settle()
+
+    def _settle(self) -> None:
+        """Lets pass the ids made from headings, and hands down what is barred."""
+        if self.slug:
+            said: dict[int, list[str]] = defaultdict(list)
+            for e, _, text in self.texts:
+                if self.tag[self.holder[e]] in HEADINGS:
+                    said[self.holder[e]].append(text)
+            for e in sorted(said):
+                slug, up = _slug("".join(said[e])), self.parent[e]
+                for _ in range(4):  # a heading stands right inside, or in a box or two
+                    if self.slug.get(up) == slug:
+                        del self.slug[up]
+                    up = self.parent[up] if up > 0 else 0
+            for e in self.slug:
+                self.barred[e] = True
+        for e in range(1, len(self.parent)):  # parents come before their children
+            self.barred[e] |= self.barred[self.parent[e]]
 
     def _names(self, named: str) -> set[str]:
         """The words in class or id; a name such as has-sidebar is of what is beside, not of what is in the element."""
         return {part.lower() for name in named.split() if not BESIDE.match(name) for part in NAME_PARTS.findall(name)}
 
-    def _beside(self, tag: str, attributes: dict[str, str], within: bool) -> bool:
-        """Whether class or id say that the element is not of the text. Ids of headings, sections and
-        the like are made from headings and say nothing. Within an article no heading is barred, classes count by the names
-        that are not of prose, and ids by the same if they are such a name as a whole."""
+    def _beside(self, number: int, tag: str, attributes: dict[str, str], within: bool) -> bool:
+        """Whether class or id say that the element is not of the text. Ids of headings, sections and the like are made from
+        headings, and say nothing unless they name comments or what is at the side. Within an article no heading is barred,
+        and names that can be of prose only make an element doubtful."""
         classes, own = self._names(attributes.get("class", "")), attributes.get("id", "")
+        named = self._names(own)
         if within and tag in HEADINGS:
             return False
+        if tag not in SLUGGED - {"section"} and named & READERS:
+            self.slug[number] = _slug(own)
         if not within:
-            return bool(classes & NAMES) or tag not in SLUGGED and bool(self._names(own) & NAMES)
-        return bool(classes & (NAMES - PROSE)) or tag not in SLUGGED and own.lower() in NAMES - PROSE
+            return bool(classes & NAMES) or tag not in SLUGGED and bool(named & (NAMES - READERS))
+        if classes & PROSE and not classes & {"comment", "comments"} or tag not in SLUGGED and own.lower() in PROSE:
+            self.doubtful.append(number)
+        return bool(classes & (NAMES - PROSE)) or tag not in SLUGGED and own.lower() in NAMES - PROSE - READERS
 
-    def _barred(self, tag: str, attributes: dict[str, str], heads: bool, within: bool) -> bool:
+    def _barred(self, number: int, tag: str, attributes: dict[str, str], heads: bool, within: bool) -> bool:
         if tag in NEVER or "hidden" in attributes or attributes.get("aria-hidden") == "true":
             return True
         if tag in TEXTUAL:
             return False
         if attributes.get("role", "").lower() in ROLES - ({"alert"} if within else set()) or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
             return True
-        return not heads and (tag == "header" or self._beside(tag, attributes, within))
+        return not heads and (tag == "header" or self._beside(number, tag, attributes, within))
 
-    def handle_starttag(self, tag, attrs):
+    def _start(self, tag, attributes):
         if tag not in INLINE:
             self.block += 1
         if tag in VOID:
@@ -91,19 +190,19 @@ class Page(HTMLParser):
             self._close({"p"}, {"td", "th", "table", "button", "object"})
         elif tag in SIBLINGS:
             self._close(*SIBLINGS[tag])
-        attributes = {k: v or "" for k, v in attrs}
         up = self.open[-1]
         first = attributes.get("class", "").split()
         label = tag + "." + re.sub(r"\d+", "", first[0]) if first and tag not in TEXTUAL else tag
         self.path.append(self.paths.setdefault((self.path[up], label), len(self.paths) + 1))
         self.parent.append(up)
         self.tag.append(tag)
+        self.holder.append(self.holder[up] if tag in INLINE else len(self.tag) - 1)
         # a header is the page's; one within an article holds its heading, of which that much is kept
         within = self.within[up]
         heads = within and (tag == "header" or "header" in self._names(f"{attributes.get('class', '')} {attributes.get('id', '')}"))
         beside = self.heading[up] and tag not in HEADINGS and tag not in INLINE and tag != "div"
         self.heading.append(heads or self.heading[up] and tag == "div")
-        self.barred.append(self.barred[up] or beside or self._barred(tag, attributes, heads, within))
+        self.barred.append(beside or self._barred(len(self.parent) - 1, tag, attributes, heads, within))
         self.link.append(self.link[up] or tag == "a")
         self.part.append(tag in ("article", "main") or attributes.get("role", "").lower() in ("article", "main"))
         self.within.append(within or self.part[-1])
@@ -125,12 +224,7 @@ class Page(HTMLParser):
             if name not in INLINE if until is None else name in until:
                 return
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag in ("svg", "path", "g"):
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
+    def _end(self, tag):
         if tag not in INLINE:
             self.block += 1
         if tag in INLINE:  # an inline end ends nothing but inline elements
@@ -138,8 +232,9 @@ class Page(HTMLParser):
         elif tag not in VOID:
             self._close({tag}, set())
 
-    def handle_data(self, data):
-        self.texts.append((self.open[-1], self.block, data))
+
+def _slug(text: str) -> str:
+    return "-".join(re.findall(r"\w+", text.lower()))
 
 
 def smoothed(values: np.ndarray) -> np.ndarray:
@@ -168,6 +263,41 @@ def content_elements(page: Page, nodes: list[tuple[int, str]], strictness: float
     return content[which]
 
 
+def beside_content(page: Page, nodes: list[tuple[int, str]], content: np.ndarray) -> np.ndarray:
+    """Which elements within an article go by what their paths say.
+
+    An element of a doubtful name stays if there is a heading inside and at least half of its other text is on content paths and in no
+    link. Of several articles beside each other those that hold under a tenth of the largest one's content are teasers.
+    """
+    count = len(page.parent)
+    total, kept, heads = np.zeros(count), np.zeros(count), np.zeros(count, bool)
+    for (e, text), c in zip(nodes, content):
+        if page.tag[page.holder[e]] in HEADINGS:
+            heads[e] = True
+        else:
+            total[e] += len(text)
+            kept[e] += len(text) * (c and not page.link[e])
+    for e in range(count - 1, 0, -1):
+        up = page.parent[e]
+        total[up] += total[e]
+        kept[up] += kept[e]
+        heads[up] |= heads[e]
+    gone = np.zeros(count, bool)
+    for e in page.doubtful:
+        gone[e] = not heads[e] or kept[e] * 2 < total[e]
+    articles: dict[int, list[int]] = defaultdict(list)
+    for e in range(1, count):
+        if page.tag[e] == "article" and not page.barred[e]:
+            articles[page.parent[e]].append(e)
+    for beside in articles.values():
+        most = max(kept[e] for e in beside)
+        for e in beside:
+            gone[e] |= kept[e] * 10 < most
+    for e in range(1, count):
+        gone[e] |= gone[page.parent[e]]
+    return gone
+
+
 def main_text(html: str, strictness: float = 0.8, share: float = 0.8) -> str:
     """The article of a page: see `extract`."""
     page = Page(html)
@@ -176,6 +306,13 @@ def main_text(html: str, strictness: float = 0.8, share: float = 0.8) -> str:
     if not nodes:
         return ""
     content = content_elements(page, nodes, strictness)
+    gone = beside_content(page, nodes, content)
+    if gone.any():
+        shown = [x for x in shown if not gone[x[0]]]
+        left = [not gone[e] for e, _ in nodes]
+        nodes, content = [x for x, n in zip(nodes, left) if n], content[left]
+        if not nodes:
+            return ""
     if not content.any():
         content[:] = True
     weight, number = np.zeros(len(page.parent)), np.zeros(len(page.parent), int)
@@ -224,7 +361,8 @@ def extract(pages: DataFrame, strictness: float = 0.8, share: float = 0.8) -> Da
     The innermost element around all of them, or the article or main part that it is in, is the article: all of it is kept,
     short paragraphs, headings and lists of links too. Where that is the whole body, it is the innermost with `share` of their
     text, and outside it what is on content paths, with the headings beside, is kept as well. Blocks that are nothing but
-    links go outside articles and outside of what holds that share.
+    links go outside articles and outside of what holds that share. Within an article the paths decide on what bears a doubtful name
+    (a notice, a box on related work) and on further articles (`beside_content`); readers' comments go by their names.
 
     Per row: page_id, url, text (blocks in page order, one space between; empty if none), n_chars (code points). A NULL html is
     an empty one; NULL ids and urls are kept; repeated rows come out once each; an empty table gives no rows; other columns are

@@ -1,9 +1,13 @@
 import html
 import re
+import time
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tagpulse.llm.main_text import extract, main_text
+from tagpulse.llm import main_text as module
+from tagpulse.llm.main_text import extract, main_text, markup
 from tagpulse.llm.queries import QUERIES, table
 
 PAGE = """<html><head><title>T</title><script>var a = "<p>no</p>";</script></head><body>
@@ -72,6 +76,66 @@ def test_lists_of_links_in_an_article_stay():
     assert main_text(page) == text + " Words on the one who wrote all this, with commas, and full stops. And more."
 
 
+def test_what_is_beside_the_text_goes():
+    body, text = paragraphs(8)
+    prose = "<p>I think, this is bad. Really, it is, I have to say, and say again.</p>" * 3
+    beside = [
+        f"<section id=comments>{prose}</section>", f"<section id='comments'><h3>3 readers say</h3>{prose}</section>", f"<div id=comment-list>{prose}</div>",
+        f"<div id=comments-area>{prose}</div>", f"<section class=replies>{prose}</section>", f"<ol class=commentlist><li>{prose}</ol>", f"<section id=sidebar>{prose}</section>",
+        f"<div class=comment-respond>{prose}</div>", "<div class=cookie-note>We use them, as all do.</div>"]
+    inside = ["<div class=alert>Please update your browser.</div>", "<div class=notice><p>By reading on, you agree to this, that, and more.</p></div>",
+              "<div class=discussion><p>I think, this is bad.</p></div>",
+              "<div class=related><h3>Related articles</h3><ul><li><a href=/a>One thing</a><li><a href=/b>Another</a></ul></div>"]
+    for layout in ("<article>{}{}</article>", "<main>{}{}</main>", "<article>{}</article>{}", "<main><article>{}</article>{}</main>"):
+        for extra in beside + (inside if "}{}<" in layout else []):
+            assert main_text("<body>" + layout.format(body, extra) + "</body>") == text, (layout, extra)
+            half, rest = body[:len(body) // 2], body[len(body) // 2:]
+            cut = half.rfind("</p>") + 4
+            if "}{}<" in layout:
+                assert main_text("<body>" + layout.format(half[:cut] + extra + half[cut:], rest) + "</body>") == text, (layout, extra)
+    for extra in beside:
+        assert main_text("<body><div class=post>" + body + "</div>" + extra + "</body>") == text, extra
+
+
+def test_names_that_headings_give_stay():
+    body, text = paragraphs(8)
+    more, more_text = paragraphs(2, 40)
+    for part, head in ((f"<section id=comments><h2>Comments</h2>{more}</section>", "Comments"), (f"<div id=reply-by-comments><h2>Reply <i>by</i> comments</h2>{more}</div>", "Reply by comments"),
+                       (f"<div class=notice><h3>Note</h3>{more}</div>", "Note"), (f"<section id=related-work><h2>Related work</h2>{more}</section>", "Related work")):
+        assert main_text(f"<article>{body}{part}</article>") == f"{text} {head} {more_text}"
+
+
+def test_teasers_go_and_equal_articles_stay():
+    body, text = paragraphs(14)
+    more, more_text = paragraphs(14, 40)
+    teaser = "<article><h3><a href=/x>Another one</a></h3><p>A line, of it.</p></article>"
+    assert main_text(f"<main><h1>Title</h1><article>{body}</article>{teaser}{teaser}</main>") == "Title " + text
+    assert main_text(f"<main><article>{body}</article><article>{more}</article></main>") == f"{text} {more_text}"
+
+
+def test_paths_decide(monkeypatch):
+    body, text = paragraphs(10)
+    loose = "<div class=grid>" + "".join(f"<div class=cell><span>Item {k}</span></div>" for k in range(30)) + "</div>"
+    page = f"<body><div class=page><div class=text>{body}</div>{loose}</div></body>"
+    assert main_text(page) == text
+    monkeypatch.setattr(module, "content_elements", lambda page, nodes, strictness: np.ones(len(nodes), bool))
+    assert main_text(page) != text
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!--", "<a b='", "<a b=c d=\"", "<?", "<![CDATA[", "</", "<p", "<script>", "<div>", "<", "&", "<b>", "</p>", "<a href=", "<x/", "<b>x", "<h2 id=comments>x<i>y"])
+def test_unfinished_markup_takes_time_in_proportion(part):
+    start = time.perf_counter()
+    main_text("<article><p>Some text, here.</p></article>" + part * (240_000 // len(part)))
+    assert time.perf_counter() - start < 12
+    assert main_text("<article><p>Some text, here.</p></article><!-- " + part * 3).startswith("Some text, here.")
+
+
+def test_markup():
+    found = list(markup("a<B Class='x y' id=z hidden data-v=\"1>2\">&amp;<br/>c</b ><!-- <i> --><!DOCTYPE x><script>if (a<b) '</p>'</script>1 < 2<i"))
+    assert found == [("text", "a", None), ("start", "b", {"class": "x y", "id": "z", "hidden": "", "data-v": "1>2"}), ("text", "&", None), ("start", "br", {}),
+                     ("text", "c", None), ("end", "b", None), ("start", "script", {}), ("end", "script", None), ("text", "1 ", None), ("text", "<", None), ("text", " 2", None)]
+
+
 def test_odd_pages():
     assert main_text("") == ""
     assert main_text("plain  text\nonly") == "plain text only"
