@@ -64,8 +64,8 @@ def scan(docs: DataFrame, coverage: float = 0.5, slack: int = 3) -> DataFrame:
     """License notices in every text of `docs` (`doc_id`, `text`).
 
     All rolling hashes of three words are joined to the places of the templates, spelling compared. A hit votes for its
-    diagonal, the offset between text and template; diagonals at most `slack` apart merge, as a word more or less shifts
-    what follows. A phrase of the base is found where one diagonal has all its places. A notice is found where merged
+    diagonal, the offset between text and template; diagonals at most `slack` apart merge if they have no place in
+    common, as a word more or less shifts what follows. A phrase of the base is found where one diagonal has all its places. A notice is found where merged
     diagonals cover at least `coverage` of its places, over no more than twice its length.
 
     Per row: doc_id, n_words, n_base (places of base phrases), first_word and last_word (their smallest and largest start,
@@ -96,7 +96,9 @@ def scan(docs: DataFrame, coverage: float = 0.5, slack: int = 3) -> DataFrame:
     votes = hits.groupBy(*own, diagonal).agg(
         F.collect_set("place").alias("seen"), F.min("at").alias("start"), (F.max("at") + GRAM).alias("end"))
     along = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(along) > slack) | F.lag("diagonal").over(along).isNull()
+    before = F.lag("diagonal").over(along)
+    again = F.arrays_overlap("seen", F.lag("seen").over(along))  # a place twice: the notice is there once more
+    apart = F.col("base") | before.isNull() | (F.col("diagonal") - before > slack) | again
     merged = (
         votes.withColumn("apart", apart.cast("int")).withColumn("group", F.sum("apart").over(along))
         .groupBy(*own, "group").agg(

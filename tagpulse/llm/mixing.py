@@ -120,7 +120,7 @@ def schedule(docs: DataFrame, aim: Mixture = Mixture()) -> DataFrame:
 
     Per reading: doc_id, source, tokens, epoch (from 0), block, place (from 0 in its block), text_key and copy (which of equal rows).
     A NULL or empty text counts as one token; a NULL source is a source; a NULL doc_id is kept; repeated rows are read once each;
-    an empty table gives no rows; other columns are ignored. A source of any size is cut by hash, so none is one task.
+    an empty table or a budget of nothing gives no rows; other columns are ignored. A source of any size is cut by hash, so none is one task.
     """
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), tokens_of(F.col("text")).alias("tokens"),
@@ -133,7 +133,7 @@ def schedule(docs: DataFrame, aim: Mixture = Mixture()) -> DataFrame:
 
     seed = F.lit(aim.seed)
     read = (
-        rows.join(plan.select(F.col("source").alias("of"), F.col("tokens").alias("size"), "quota"), F.col("source").eqNullSafe(F.col("of")))
+        rows.join(plan.where("quota > 0").select(F.col("source").alias("of"), F.col("tokens").alias("size"), "quota"), F.col("source").eqNullSafe(F.col("of")))
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.ceil(F.col("quota") / F.col("size") - 1e-9).cast("int") - 1)))
         .withColumn("row", F.xxhash64("doc_id", "text_key", "copy"))
         .withColumn("draw", F.xxhash64("row", "epoch", seed)))

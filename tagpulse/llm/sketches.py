@@ -76,7 +76,7 @@ def compare_edited(docs: DataFrame, words: int = 5) -> DataFrame:
 
     Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hashes as hexadecimal digits), near_edited and
     near_next (containment of the smaller sketch in the larger), sketch and edited_sketch (array<long>).
-    A NULL text is an empty one; a NULL doc_id counts as the smallest; of several texts under one doc_id the smallest is the
+    A NULL text is an empty one; a NULL doc_id counts as the smallest, -2^63, which is not told apart from it and comes out as NULL; of several texts under one doc_id the smallest is the
     next document's; a lone document is its own next; repeated rows come out once each; an empty table gives no rows; other
     columns are ignored. Texts are shuffled once, and of each once more the part that its neighbour needs with its sketch.
     """

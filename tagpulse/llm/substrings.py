@@ -226,7 +226,7 @@ def remove_repeated(docs: DataFrame, width: int = 13, keep_text: bool = False) -
     gets those of about `TASK_BYTES` of text, and a window common to many documents once per block of a million.
     What comes back, the places of repeated windows, meets the texts by doc_id.
 
-    A NULL text has no words; a NULL doc_id counts as larger than all others and not as smaller than its like; rows
+    A NULL text has no words; a NULL doc_id counts as larger than all others (as 2^63 - 1, which comes out as NULL too) and not as smaller than its like; rows
     with one doc_id do not repeat each other; an empty table gives no rows; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))

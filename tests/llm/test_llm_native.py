@@ -150,6 +150,57 @@ def near(a, b):
     return 1.0 if a == b else 0.0 if not a or not b else len(a & b) / min(len(a), len(b))
 
 
+def brute_notices(text, coverage=0.5, slack=3):
+    """Labels, spans and the best coverage of the notices by listing all diagonals of a text."""
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(text or ""))
+    spans, best = [], 0.0
+    for label, notice in licenses.NOTICES:
+        words = notice.split()
+        places = len(words) - 2
+        diagonals = {}
+        for p in range(places):
+            for at in range(len(found) - 2):
+                if found[at:at + 3] == words[p:p + 3]:
+                    diagonals.setdefault(at - p, []).append((p, at))
+        groups, last = [], None
+        for d in sorted(diagonals):
+            seen = {p for p, _ in diagonals[d]}
+            if last is None or d - last > slack or seen & {p for p, _ in diagonals[last]}:
+                groups.append([])
+            groups[-1] += diagonals[d]
+            last = d
+        for group in groups:
+            start, end = min(at for _, at in group), max(at for _, at in group) + 3
+            covered = len({p for p, _ in group}) / places
+            if end - start <= 2 * (places + 3):
+                best = max(best, min(covered, 1.0))
+                if covered >= coverage:
+                    spans.append((label, start, end))
+    return sorted(spans), best
+
+
+def test_notices_by_brute_force(spark):
+    r = random.Random(8)
+    rows = [(k, "all rights reserved " * n + "word") for k, n in enumerate((1, 2, 3, 4, 10, 50))]
+    for k, (_, notice) in enumerate(licenses.NOTICES):
+        words = notice.split()
+        for trial in range(4):
+            changed = [w for w in words if r.random() > 0.04 * trial]
+            for _ in range(trial):
+                changed.insert(r.randrange(len(changed) + 1), r.choice(words))
+            rows.append((100 + 10 * k + trial, prose(20, trial) + " " + " ".join(changed * (1 + trial % 2)) + " " + prose(20, k)))
+    rows += [(1000 + x.doc_id, x.text) for x in table(spark, SF, "documents").where("doc_id % 5 = 0").collect()]
+    found = {x.doc_id: x for x in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        spans, best = brute_notices(text)
+        mine = [(s.label, s.start, s.end) for s in found[i].spans]
+        base = set(filter(None, found[i].base_labels.split(",")))
+        assert [s for s in mine if s in spans] == spans
+        assert set(found[i].labels.split(",")) - {""} == base | {s[0] for s in spans}, i
+        assert abs(found[i].score - (1.0 if base else best)) < 1e-12
+    assert [len(found[k].spans) for k in range(6)] == [1, 2, 3, 4, 10, 50]
+
+
 def test_fingerprints(spark):
     rows = [r[:2] for r in odd_rows() if r[0] not in (4, 8) and r[1] is not None or r[0] in (2,)]
     rows = {i: (i, t) for i, t in rows if i != 11}  # lower() of other alphabets is Spark's
@@ -264,3 +315,9 @@ def test_mixed_rows_are_those_of_the_schedule(spark):
     assert ordered(map(tuple, planned.collect())) == ordered(map(tuple, got.collect()))
     assert mixing.mix(documents(spark, [])).collect() == []
     assert mixing.schedule(documents(spark, [])).collect() == []
+
+
+def test_nothing_to_read(spark):
+    rows = [(k, prose(10, k), "en", f"s{k % 2}", 1) for k in range(20)]
+    aim = mixing.Mixture(repeats=None, budget=0)
+    assert mixing.schedule(documents(spark, rows), aim).collect() == [] == mixing.mix(documents(spark, rows), aim).collect()
