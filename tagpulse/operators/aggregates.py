@@ -93,14 +93,17 @@ def longest_word_rows(tweets: DataFrame, tags=None, utf16=False) -> DataFrame:
     return tag_rows(with_longest_word(tweets, utf16), "word", "length", needs=[], tags=tags)
 
 
-def longest_words(rows: DataFrame, width=None) -> DataFrame:
-    """The longest word per tag and window; among equals the first to arrive. Batch or streaming."""
+def longest_word_places(rows: DataFrame, width=None) -> DataFrame:
+    """(tag, best) per tag and window: the longest word, first by arrival, as a struct whose maximum over parts is that of the
+    whole. Batch or streaming."""
     best = F.max(F.struct(
         "length", (-F.unix_micros("ts")).alias("_ts"), (-F.col("tweet_id")).alias("_id"), "word"))
-    return (
-        rows.groupBy(*tumbling(width), "tag").agg(best.alias("_best"))
-        .select(*window_bounds(width), "tag", "_best.word", "_best.length")
-    )
+    return rows.groupBy(*tumbling(width), "tag").agg(best.alias("best"))
+
+
+def longest_words(rows: DataFrame, width=None) -> DataFrame:
+    """The longest word per tag and window; among equals the first to arrive. Batch or streaming."""
+    return longest_word_places(rows, width).select(*window_bounds(width), "tag", "best.word", "best.length")
 
 
 def token_rows(tweets: DataFrame, utf16=False) -> DataFrame:

@@ -340,3 +340,12 @@ ORACLES = {
 }
 ORACLES |= {
     f"stream_{name}": ORACLES[name] for name in ("running_tag_count", "running_avg_words", "compare_tag_count_updates")}
+ORACLES |= {
+    "layer_tag_count": TAG_COUNT_EN,
+    "layer_users_per_tag": USERS_PER_TAG,
+    "increments_tag_count": TAG_COUNT_EN,
+    "increments_avg_words": ORACLES["stream_avg_words"],
+    "increments_longest_word": sql(DOC_TAGS, TOKENS, LONGEST.format(key="", where="true"), select="""
+      SELECT tag, word, length FROM ranked WHERE nth = 1"""),
+    "increments_token_stats": ORACLES["token_stats_per_tag"],
+}

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tagpulse.operators import aggregates as agg
 from tagpulse.operators import compare, regression, reshape, running, views
+from tagpulse.plans import programs
 from tagpulse.schema import ARRIVAL
 from tagpulse.session import checkpointed, fresh_folder
 from tagpulse.sources.posts import parse_tweets, to_lines
 from tagpulse.sources.sinks import ONCE, copy_log, latest_updates, to_files, to_updates
 from tagpulse.sources.tables import from_documents, from_events, spread, stream_table, table
-from tagpulse.streaming import live, updates
+from tagpulse.streaming import increments, layer, live, updates
 from tagpulse.streaming.lists import read_compared, read_lists, start_lists
 from tagpulse.streaming.online import read_predictions, start_online_regression
 
@@ -472,6 +473,50 @@ def stream_compare_tag_count_updates(spark, sf_dir):
     return plain(updates.read_compared_counts(spark, out))
 
 
+# posts parsed once, and results kept up by increments
+
+def _layer(spark, tweets) -> DataFrame:
+    out = fresh_folder(spark, "layer")
+    layer.start_layer(to_lines(tweets), f"{out}/posts", f"{out}/progress", trigger=ONCE).awaitTermination()
+    return layer.read_posts(spark, f"{out}/posts")
+
+
+@query
+def layer_tag_count(spark, sf_dir):
+    return programs.tag_counts(_layer(spark, live_docs(spark, sf_dir)))
+
+
+@query
+def layer_users_per_tag(spark, sf_dir):
+    return programs.users_per_tag(_layer(spark, live_events(spark, sf_dir)), USER_PART)
+
+
+def _increments(spark, posts, name, **options) -> DataFrame:
+    out = fresh_folder(spark, "increments")
+    increments.start_increments(posts, out, f"{out}/progress", [name], trigger=ONCE, **options).awaitTermination()
+    return plain(increments.read_result(spark, out, name))
+
+
+@query
+def increments_tag_count(spark, sf_dir):
+    return _increments(spark, live_docs(spark, sf_dir), "tag_counts")
+
+
+@query
+def increments_avg_words(spark, sf_dir):
+    return _increments(spark, live_docs(spark, sf_dir), "mean_words")
+
+
+@query
+def increments_longest_word(spark, sf_dir):
+    return _increments(spark, live_docs(spark, sf_dir), "longest_words")
+
+
+@query
+def increments_token_stats(spark, sf_dir):
+    return _increments(spark, live_docs(spark, sf_dir), "token_stats")
+
+
 # streams that have ended: the last windows too
 
 def _finished(spark, name, tweets, windows, tags=("end",)) -> DataFrame:

@@ -77,24 +77,36 @@ def _parsed(lines: DataFrame, mode: str) -> DataFrame:
         "value", "tweet_id", "ts", F.inline(F.array(F.from_json("value", schema, options))))
 
 
+def _flat() -> list:
+    """The canonical columns of a parsed line."""
+    return [
+        F.col("tweet_id"), F.col("ts"), F.col("text"), F.col("lang"),
+        F.col("user.name").alias("user_name"),
+        F.col("user.lang").alias("user_lang"),
+        F.col("place.country").alias("country"),
+        F.col("entities.hashtags.text").alias("hashtags"),
+    ]
+
+
 def parse_tweets(lines: DataFrame, mode="PERMISSIVE", with_line=False) -> DataFrame:
     """Lines (value, tweet_id, ts) to canonical posts, and the line itself if asked for.
 
     Blank lines are skipped. A line that is not JSON is left out here and found by `bad_lines`,
     or fails the job with mode="FAILFAST". Absent fields are NULL; views drop rows without the
-    field they need.
+    field they need. Posts that are parsed already, such as those of a layer, stay as they are.
     """
+    if "hashtags" in lines.columns:
+        return lines if with_line else lines.drop("value")
     posts = _parsed(lines, mode)
     if mode == "PERMISSIVE":
         posts = posts.where(F.col("_bad").isNull())
-    return posts.select(
-        "tweet_id", "ts", "text", "lang",
-        F.col("user.name").alias("user_name"),
-        F.col("user.lang").alias("user_lang"),
-        F.col("place.country").alias("country"),
-        F.col("entities.hashtags.text").alias("hashtags"),
-        *(["value"] if with_line else []),
-    )
+    return posts.select(*_flat(), *(["value"] if with_line else []))
+
+
+def posts_and_bad_lines(lines: DataFrame) -> DataFrame:
+    """The rows of `parse_tweets` and of `bad_lines` in one pass, told apart by `bad`; with the line."""
+    parsed = _parsed(lines, "PERMISSIVE").where(F.col("value").rlike(r"\S"))
+    return parsed.select(*_flat(), "value", F.col("_bad").isNotNull().alias("bad"))
 
 
 def bad_lines(lines: DataFrame) -> DataFrame:

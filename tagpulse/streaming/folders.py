@@ -44,9 +44,9 @@ def numbered_folders(spark: SparkSession, path, name="batch_id") -> dict[int, st
     return found
 
 
-def drop_before(spark: SparkSession, path, batch_id: int) -> None:
+def drop_before(spark: SparkSession, path, batch_id: int, name="batch_id") -> None:
     """Removes the folders of earlier batches."""
-    for number, folder in numbered_folders(spark, path).items():
+    for number, folder in numbered_folders(spark, path, name).items():
         if number < batch_id:
             files, at = files_of(spark, folder)
             files.delete(at, True)

@@ -1,0 +1,110 @@
+"""The parsed layer and incremental results over several files, one late and one batch repeated."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import LINES, tuples
+from tagpulse.operators import aggregates as agg
+from tagpulse.plans import programs
+from tagpulse.sources.posts import bad_lines, parse_tweets, read_lines, stream_lines
+from tagpulse.sources.sinks import ONCE
+from tagpulse.streaming import increments, layer
+
+
+def add(folder, number, lines, day=0):
+    (folder / f"{number}.json").write_text("\n".join(lines), encoding="utf-8")
+    at = 1700000000 + 86400 * day + number
+    os.utime(folder / f"{number}.json", (at, at))
+
+
+def files_under(folder):
+    return {os.path.join(at, f): os.path.getmtime(os.path.join(at, f)) for at, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def repeat_last_batch(checkpoint):
+    last = max((f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+
+
+def same_results(posts, lines):
+    tags = programs.COUNTRY_TAGS
+    for program in (programs.tag_counts, programs.users_per_tag, programs.tags_per_country, programs.mean_words, lambda x: programs.longest_words(x, tags),
+                    programs.longest_word_model):
+        assert tuples(program(posts)) == tuples(program(lines))
+
+
+def test_layer(spark, tmp_path):
+    folder, out = tmp_path / "lines", str(tmp_path / "layer")
+    folder.mkdir()
+    for n in range(3):
+        add(folder, n, LINES, day=n)
+    start = lambda keep=True: layer.start_layer(stream_lines(spark, str(folder), 1), out, str(tmp_path / "c"), keep, trigger=ONCE).awaitTermination()
+    start()
+    lines = read_lines(spark, str(folder))
+    posts = layer.read_posts(spark, out)
+    same_results(posts, lines)
+    assert sorted(r.value for r in layer.read_bad_lines(spark, out).collect()) == sorted(r.value for r in bad_lines(lines).collect())
+    assert posts.count() == 3 * 6  # blank lines are neither
+    # JSON is not read again
+    assert all("from_json" not in df._jdf.queryExecution().executedPlan().toString().lower() for df in (programs.tag_counts(posts), programs.tags_per_country(posts)))
+    assert sorted(r.value for r in programs.keyword_posts(layer.read_posts(spark, out, with_line=True), ["usa"]).collect()) == sorted(
+        r.value for r in programs.keyword_posts(lines, ["usa"]).collect())
+
+    # a late file of the first day adds itself, a repeated batch replaces itself
+    before = files_under(out)
+    add(folder, 5, LINES[:2], day=0)
+    repeat_last_batch(tmp_path / "c")
+    start()
+    after = files_under(out)
+    kept = {f: t for f, t in before.items() if "batch_id=2" not in f}
+    assert all(after[f] == t for f, t in kept.items())
+    same_results(layer.read_posts(spark, out), read_lines(spark, str(folder)))
+    days = [r.day for r in layer.read_posts(spark, out).select(F.to_date("ts").alias("day")).distinct().orderBy("day").collect()]
+    assert len(days) == 3
+    one = layer.read_posts(spark, out, days[1], days[1])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 6 and "day" in plan.split("PartitionFilters: [")[1].split("]")[0]  # other days' folders are not read
+    assert layer.read_posts(spark, out, until=days[0]).count() == 8
+
+
+@pytest.mark.parametrize("tags", [None, ["japan", "empty"]])
+def test_increments(spark, tmp_path, tags):
+    folder, out = tmp_path / "lines", str(tmp_path / "out")
+    folder.mkdir()
+    for n in range(4):
+        add(folder, n, [line.replace("three", "x" * n) for line in LINES])
+    posts = parse_tweets(stream_lines(spark, str(folder), 1))
+    start = lambda: increments.start_increments(posts, out, str(tmp_path / "c"), tags=tags, trigger=ONCE).awaitTermination()
+
+    def check():
+        lines = read_lines(spark, str(folder))
+        assert tuples(increments.read_result(spark, out, "tag_counts")) == tuples(programs.tag_counts(lines))
+        means = increments.read_result(spark, out, "mean_words").select("tag", "avg_words", "posts")
+        assert tuples(means) == tuples(programs.mean_words(lines, tags, quoted=False))
+        longest = {r.tag: (r.word, r.length) for r in increments.read_result(spark, out, "longest_words").collect()}
+        expected = {r.tag: (r.word, r.length) for r in programs.longest_words(lines, tags).collect()}
+        assert longest == expected
+        whole = agg.token_stats(agg.token_rows(parse_tweets(lines)))
+        assert tuples(increments.read_result(spark, out, "token_stats")) == tuples(whole.select("tag", "tokens", "longest"))
+
+    start()
+    check()
+    before = files_under(out)
+    add(folder, 7, LINES[:2])
+    repeat_last_batch(tmp_path / "c")
+    start()
+    after = files_under(out)
+    assert all(after[f] == t for f, t in before.items() if "batch_id=3" not in f)
+    check()
+    for _ in range(2):
+        increments.merge_old(spark, out)
+        check()
+    assert all(len(os.listdir(f"{out}/{name}-base")) == 1 for name in increments.PARTS)
+    add(folder, 8, LINES)
+    add(folder, 9, LINES[:1])
+    start()
+    increments.merge_old(spark, out, keep=1)
+    check()
