@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tagpulse.operators import aggregates as agg
 from tagpulse.operators import compare, regression, reshape, running, views
 from tagpulse.plans import programs
-from tagpulse.schema import ARRIVAL
 from tagpulse.session import checkpointed, fresh_folder
 from tagpulse.sources.posts import parse_tweets, to_lines
 from tagpulse.sources.sinks import ONCE, copy_log, latest_updates, to_files, to_updates
