@@ -2,7 +2,6 @@
 
 from collections.abc import Iterator
 from itertools import accumulate, combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagpulse.llm.components import components
+from tagpulse.llm.components import components, joined
 from tagpulse.session import checkpointed
 
 BITS = 64
@@ -57,10 +56,14 @@ def block_masks(blocks: int, distance: int) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
-def block_count(fingerprints: int, distance: int) -> int:
-    """The fewest blocks at which a fingerprint shares a mask's bits with one other by chance, or with none."""
-    blocks = distance + 2
-    while comb(blocks, distance) * fingerprints > 2 ** (BITS * (blocks - distance) // blocks) and blocks < 4 * distance + 4:
+def block_count(fingerprints: int, distance: int, partners: int = 256) -> int:
+    """The fewest blocks at which a fingerprint shares the bits of a mask with at most `partners` others by chance.
+
+    Every mask is a row to shuffle for each fingerprint, while a partner is one operation on a vector: 5 masks do for a million
+    fingerprints (at four bits), 15 for half a thousand million, 35 for thirty thousand million.
+    """
+    blocks = distance + 1
+    while fingerprints > partners << BITS * (blocks - distance) // blocks and blocks < 4 * distance + 4:
         blocks += 1
     return blocks
 
@@ -81,6 +84,23 @@ def near_forest(members: np.ndarray, distance: int) -> list[tuple[int, np.ndarra
     return links
 
 
+def group_links(members: np.ndarray, distance: int, slab: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """(left, right) of a group's links: all pairs within `distance` bits, or a forest if they are more than the members."""
+    left, right, found = [members[:0]], [members[:0]], 0
+    step = max(1, slab // len(members))
+    for k in range(0, len(members) - 1, step):
+        own, others = members[k:k + step], members[k + 1:]
+        i, j = np.nonzero(np.bitwise_count(own[:, None] ^ others) <= distance)
+        i, j = i[j >= i], j[j >= i]  # each pair once, and none with itself
+        left.append(own[i])
+        right.append(others[j])
+        found += len(i)
+        if found > len(members):
+            forest = near_forest(members, distance)
+            return np.repeat(np.array([at for at, _ in forest], np.uint64), [len(f) for _, f in forest]), np.concatenate([f for _, f in forest])
+    return np.concatenate(left), np.concatenate(right)
+
+
 def _forests(distance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty((0, 5), np.int64)  # the last group so far: it may go on in the next batch
@@ -95,10 +115,10 @@ def _forests(distance: int):
             near = np.bitwise_count(bits[two] ^ bits[two + 1]) <= distance
             left, right, masks = [bits[two][near]], [bits[two + 1][near]], [rows[two, 0][near]]
             for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
-                for at, found in near_forest(bits[a:b], distance):
-                    left.append(np.full(len(found), at, np.uint64))
-                    right.append(found)
-                    masks.append(np.full(len(found), rows[a, 0]))
+                one, other = group_links(bits[a:b], distance)
+                left.append(one)
+                right.append(other)
+                masks.append(np.full(len(one), rows[a, 0]))
             columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (left, right)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(masks).astype(np.int32)), *columns], names=["mask", "left", "right"])
 
@@ -151,14 +171,15 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: i
     shared folder once.
     """
     prints = checkpointed(fingerprints(docs, words, seed))
-    distinct = checkpointed(prints.groupBy("bits").agg(F.min("doc_id").alias("first")))
-    roots = components(near_links(distinct.withColumn("kind", F.lit(0)), distance, members))
-    rooted = (
+    distinct = checkpointed(prints.groupBy("bits").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
+    count, total = distinct.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    roots = components(near_links(distinct.select("bits", F.lit(0).alias("kind")), distance, members))
+    rooted = checkpointed(
         distinct.join(roots.select(F.col("node").alias("bits"), "root"), "bits", "left")
-        .withColumn("root", F.coalesce("root", "bits")))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("bits", "component_id")
-    return prints.join(classes, "bits").select("doc_id", "bits", "component_id")
+        .select("bits", "first", "copies", F.coalesce("root", "bits").alias("root")))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
+    classes = checkpointed(joined(rooted, smallest, "root", count).select("bits", "component_id", F.col("copies").alias("n")))
+    return joined(prints, classes, "bits", total).select("doc_id", "bits", "component_id")
 
 
 WORDS_SEED = 42  # that of the engine's own hash, so that `words_hash` gives the same
@@ -292,7 +313,7 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, bands
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     prints = checkpointed(band_prints(docs, words, bands, rows))
-    texts = checkpointed(prints.groupBy("words").agg(F.min("doc_id").alias("first"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys")))
+    texts = checkpointed(prints.groupBy("words").agg(F.min("doc_id").alias("first"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"), F.count("*").alias("copies")))
     keyed = texts.select("words", "size", F.explode("keys").alias("key"))
     groups = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"), F.bit_xor(F.xxhash64("words")).alias("who")).where("n > 1")
     groups = groups.groupBy("who", "n", "shingles").agg(F.min("key").alias("key"))
@@ -308,12 +329,14 @@ def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, bands
     dealt = cells.join(shingle_sets(chosen, words), "words").select(*group, "words", "shingles").repartition(*group).sortWithinPartitions(*group)
     roots = components(dealt.mapInArrow(_similar_forests(least), "left long, right long"))
     roots = roots.select(F.col("node").alias("words"), "root")
-    rooted = texts.join(roots, "words", "left").select("words", "first", F.coalesce("root", "words").alias("root"))
+    rooted = checkpointed(texts.join(roots, "words", "left").select("words", "first", "copies", F.coalesce("root", "words").alias("root")))
+    count, total = rooted.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
     own = F.when(F.col("first").isNotNull(), F.struct("first", "words"))
-    smallest = rooted.groupBy("root").agg(F.min(own).alias("kept"))
-    classes = rooted.join(smallest, "root").select("words", "kept.first", F.col("kept.words").alias("of"))
+    smallest = rooted.groupBy("root").agg(F.min(own).alias("kept"), F.count("*").alias("n"))
+    classes = joined(rooted.select("words", "copies", "root"), smallest, "root", count)
+    classes = checkpointed(classes.select("words", "kept.first", F.col("kept.words").alias("of"), F.col("copies").alias("n")))
     stays = (F.col("doc_id") == F.col("first")) & (F.col("words") == F.col("of"))
-    return prints.join(classes, "words").select(
+    return joined(prints.select("doc_id", "words"), classes, "words", total).select(
         "doc_id", "words", F.col("first").alias("component_id"), F.coalesce(stays, F.lit(False)).alias("stays"))
 
 

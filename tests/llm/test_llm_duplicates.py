@@ -10,7 +10,7 @@ from llm_data import documents, ascii_lower, prose
 from pyspark.sql import functions as F
 
 from tagpulse.llm import simhash, substrings
-from tagpulse.llm.components import components
+from tagpulse.llm.components import components, joined
 from tagpulse.llm.queries import QUERIES, table
 
 
@@ -213,3 +213,45 @@ def test_repeated_passages_query_against_sql(spark):
         df = QUERIES[name](spark, sf)
         assert dict(df.dtypes) == sql_types(database(sf), sql)
         assert spark_rows(df) == sql_rows(database(sf), sql)
+
+
+def test_hot_keys_are_joined_without_a_shuffle_of_their_rows(spark):
+    large = spark.range(3000).select(F.when(F.col("id") < 2000, 7).when(F.col("id") < 2900, F.col("id")).alias("key"), "id").union(
+        spark.createDataFrame([(8, 9999)], "key long, id long"))
+    small = large.where("key is not null and key <> 8").groupBy("key").agg(F.max("id").alias("most"), F.count("*").alias("n"))
+    got = joined(large, small, "key", 3000)
+    assert sorted(got.columns) == ["id", "key", "most"]
+    expected = [(7, i, 1999) for i in range(2000)] + [(i, i, i) for i in range(2000, 2900)]
+    assert sorted(map(tuple, got.select("key", "id", "most").collect())) == expected
+    assert joined(large.limit(0), small, "key", 0).collect() == joined(large, small.limit(0), "key", 0).collect() == []
+
+
+def test_masks_grow_slowly_and_miss_no_pair():
+    counts = [simhash.block_count(n, 4) for n in (0, 10**5, 10**6, 10**8, 10**10, 10**11)]
+    assert counts == [5, 5, 5, 6, 7, 8]
+    r = random.Random(7)
+    for blocks in set(counts):
+        masks = simhash.block_masks(blocks, 4)
+        for _ in range(2000):
+            flips = sum(1 << b for b in r.sample(range(64), 4))
+            assert any(not flips & m for m in masks)
+
+
+def test_links_of_a_group_connect_what_all_pairs_would():
+    r = np.random.default_rng(3)
+    single = np.uint64(1) << r.integers(0, 64, (300, 6), np.uint64)
+    for flips in (0, 1, 3, 6):  # from one dense ball to none
+        members = np.unique(np.bitwise_xor.reduce(single[:, :flips], 1) if flips else r.integers(0, 2**64, 300, np.uint64))
+        left, right = simhash.group_links(members, 4, slab=1000)
+        assert len(left) <= len(members) and (np.bitwise_count(left ^ right) <= 4).all()
+        ids = [int(m) for m in members]
+        root = {m: m for m in ids}
+
+        def top(m):
+            while root[m] != m:
+                m = root[m]
+            return m
+
+        for a, b in zip(left.tolist(), right.tolist()):
+            root[max(top(a), top(b))] = min(top(a), top(b))
+        assert [top(m) for m in ids] == component_ids(ids, ids)
