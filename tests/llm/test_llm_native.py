@@ -321,3 +321,50 @@ def test_nothing_to_read(spark):
     rows = [(k, prose(10, k), "en", f"s{k % 2}", 1) for k in range(20)]
     aim = mixing.Mixture(repeats=None, budget=0)
     assert mixing.schedule(documents(spark, rows), aim).collect() == [] == mixing.mix(documents(spark, rows), aim).collect()
+
+
+def battery(token, symbols):
+    """The three tests and Fisher's method in plain Python."""
+    n, k = len(token), len(symbols)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi = sum((token.count(c) - n / k) ** 2 / (n / k) for c in symbols)
+    spread = 2 / (9 * (k - 1))
+    p1 = tail(((chi / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    high = [symbols.index(c) >= k // 2 for c in token]
+    mixed = 2 * sum(high) * (n - sum(high))
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    deviation = math.sqrt(max(mixed * (mixed - n) / (n * n * (n - 1)), 0))
+    p2 = 2 * tail(abs(runs - mixed / n - 1) / deviation) if deviation else 0
+    x = [symbols.index(c) for c in token]
+    mean = sum(x) / n
+    square = sum((v - mean) ** 2 for v in x)
+    r = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:] + x[:1])) / square if square else None
+    p3 = 2 * tail(abs(r + 1 / (n - 1)) * math.sqrt(n)) if square else 0
+    half = -sum(math.log(max(p, 1e-15)) for p in (p1, p2, p3))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def test_battery_against_plain_python(spark):
+    r = random.Random(11)
+    rows = []
+    for name, _, _, symbols in secret_scan.ENCODINGS:
+        rows += [("".join(r.choice(symbols) for _ in range(n)), symbols) for n in (24, 33, 64, 300)]
+        rows += [("".join(r.choice(symbols[:5]) for _ in range(40)), symbols), (symbols, symbols), (symbols[0] * 30, symbols)]
+    found = secret_scan.randomness(spark.createDataFrame(rows, "match string, symbols string")).collect()
+    assert len(found) == len(rows)
+    for x in found:
+        assert math.isclose(x.p, battery(x.match, x.symbols), rel_tol=1e-3, abs_tol=1e-6), x.match
+
+
+def test_keys_of_one_case_are_found_and_joined_words_are_not(spark):
+    r = random.Random(12)
+    lower, letters = "abcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(r.choice(a) for _ in range(n)) for a, n in ((lower, 32), (lower.upper(), 40), (letters, 32)) for _ in range(100)]
+    words = ["rechtsschutzversicherungsgesellschaften", "internationalizations1234", "getTheNumberOfOpenSessionsOfUser", "section2introduction",
+             "COUNTERREVOLUTIONARIES2024", "abcdefghijklmnopqrstuvwxyz0123456789", "ABABABABABABABABABABABABAB1A2"]
+    docs = spark.createDataFrame([(k, f"the key {t} is here") for k, t in enumerate(keys + words)], "doc_id long, text string")
+    found = {x.doc_id: x.spans for x in secret_scan.scan(docs).collect()}
+    assert sum(found[k] == f"random:8:{8 + len(t)}" for k, t in enumerate(keys)) >= 0.9 * len(keys)
+    assert [found[len(keys) + k] for k in range(len(words))] == [""] * len(words)
+    clean = {x.doc_id: x.text for x in secret_scan.redact(docs).collect()}
+    assert all((clean[k] == "the key [SECRET] is here") == (found[k] != "") for k in found)
