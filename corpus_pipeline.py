@@ -17,7 +17,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of exact and near copies."""
+    """One document, that of the smallest id, of each group of exact and near copies: fingerprints at most four bits apart, as in
+    op4_simhash, or a common band of MinHashes bring texts together, and those that share 0.8 of their shingles are copies."""
     return simhash.keep_one(docs, simhash.similar_documents(docs))
 
 

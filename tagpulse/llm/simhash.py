@@ -218,23 +218,38 @@ def band_keys(shingles: np.ndarray, bands: int, rows: int, step: int = 1024) ->
     return np.array([xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(least.reshape(bands, rows))], np.uint64)
 
 
-def band_prints(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, words, size, keys): a hash of each text's words, how many distinct shingles it has, and its keys."""
+def band_prints(docs: DataFrame, words: int, bands: int, rows: int, print_words: int = 4, print_seed: int = 42) -> DataFrame:
+    """(doc_id, words, size, bits, keys): a hash of each text's words, how many distinct shingles it has, its SimHash as in
+    `fingerprints`, and its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole, sizes, keys = [], [], []
+            whole, sizes, bits, keys = [], [], [], []
             for text in batch.column(1):
                 found = (text.as_py() or b"").lower().split()
                 shingles = text_shingles(found, words)
                 whole.append(xxhash.xxh64_intdigest(b" ".join(found), WORDS_SEED))
                 sizes.append(len(shingles))
+                bits.append(majority_bits(shingle_hashes(text.as_py() or b"", print_words, print_seed)))
                 keys.append(band_keys(shingles, bands, rows).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "words", "size", "keys"])
+                [batch.column(0), pa.array(np.array(whole, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
+                 pa.array(np.array(bits, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "words", "size", "bits", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, words long, size long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, words long, size long, bits long, keys array<long>")
+
+
+def print_classes(texts: DataFrame, distance: int, members: int) -> DataFrame:
+    """(words, size, key): `texts` (words, size, bits), each with the smallest of the prints that its own reaches over prints that
+    differ in at most `distance` bits. So any two texts whose prints are that near have one key."""
+    prints = checkpointed(texts.groupBy("bits").agg(F.count("*").alias("n")))
+    roots = components(near_links(prints.select("bits", F.lit(0).alias("kind")), distance, members))
+    classes = checkpointed(
+        prints.join(roots.select(F.col("node").alias("bits"), "root"), "bits", "left")
+        .select("bits", "n", F.coalesce("root", "bits").alias("key")))
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return checkpointed(joined(texts, classes, "bits", total).select("words", "size", "key"))
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -300,21 +315,24 @@ def _similar_forests(least: float):
     return run
 
 
-def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, bands: int = 24, rows: int = 6, members: int = 4096, held: int = 1 << 21) -> DataFrame:
+def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, bands: int = 24, rows: int = 6, members: int = 4096, held: int = 1 << 21, distance: int = 4) -> DataFrame:
     """Per document: doc_id, words (the hash of its text's words), component_id over near copies, those that share `least` and more
     of their distinct shingles, and stays: whether this text under this id stands for its component (of several texts of the
     smallest id the one of the smallest hash).
 
-    Candidates have a band of MinHashes in common: of pairs at 0.8 that misses (1 - 0.8 ** 6) ** 24, one in 1,460, and less above,
-    wherever the copies differ. The texts of each band's key meet with all of their shingles and are linked where these are alike
-    enough, and nowhere else; bands that bring the same texts together count once. A group of over `members` texts or `held`
-    shingles is cut into parts, and every two parts meet in a task of their own; from each comes a forest, as in `near_links`.
+    Candidates are linked by SimHash as in `near_duplicates`: all whose fingerprints differ in at most `distance` bits, none is missed.
+    Copies that differ by more have a band of MinHashes in common: of pairs at 0.8 that misses (1 - 0.8 ** 6) ** 24, one in 1,460,
+    and less above, wherever the copies differ. The texts of each SimHash class and of each band's key meet with all of their
+    shingles and are linked where these are alike enough, and nowhere else; keys that bring the same texts together count once. A group
+    of over `members` texts or `held` shingles is cut into parts, and every two parts meet in a task of their own; from each comes a
+    forest, as in `near_links`.
     Texts are compared by 64-bit hashes, lower-cased in A-Z. Rows as in `near_duplicates`.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     prints = checkpointed(band_prints(docs, words, bands, rows))
-    texts = checkpointed(prints.groupBy("words").agg(F.min("doc_id").alias("first"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"), F.count("*").alias("copies")))
-    keyed = texts.select("words", "size", F.explode("keys").alias("key"))
+    texts = checkpointed(prints.groupBy("words").agg(F.min("doc_id").alias("first"), F.any_value("size").alias("size"), F.any_value("bits").alias("bits"), F.any_value("keys").alias("keys"), F.count("*").alias("copies")))
+    printed = print_classes(texts.where("size > 0").select("words", "size", "bits"), distance, members)
+    keyed = printed.union(texts.select("words", "size", F.explode("keys").alias("key")))
     groups = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"), F.bit_xor(F.xxhash64("words")).alias("who")).where("n > 1")
     groups = groups.groupBy("who", "n", "shingles").agg(F.min("key").alias("key"))
     parts = F.greatest(F.ceil(F.col("n") / members), F.ceil(F.col("shingles") / held)).cast("int")

@@ -140,6 +140,38 @@ def test_copies_that_differ_by_a_block_go(spark):
     assert found == {i: i // 2 * 2 for i, _ in rows}
 
 
+def test_simhash_brings_copies_that_every_band_misses(spark):
+    rows, shared = [], lambda a, b, of: set(of(a)) & set(of(b))
+    for k, seed in enumerate((551, 593, 6453)):
+        text = " ".join([prose(100, seed + 10**6)] + [prose(30, seed)] * 8)
+        rows += [(2 * k, text), (2 * k + 1, f"{text} {prose(30, seed + 2 * 10**6)}")]
+    for (_, a), (_, b) in zip(rows[::2], rows[1::2]):
+        assert len(shared(a, b, shingles)) >= 0.8 * len(shingles(a) | shingles(b))
+        assert not shared(a, b, lambda t: simhash.band_keys(simhash.text_shingles(t.encode().split()), 24, 6).tolist())
+    docs = documents(spark, [(i, t, None, None, None) for i, t in rows])
+    assert {x.doc_id: x.component_id for x in simhash.similar_documents(docs).collect()} == {i: i // 2 * 2 for i, _ in rows}
+    assert {x.doc_id for x in corpus_pipeline.without_copies(spark, docs, SF).collect()} == {0, 2, 4}
+
+
+@pytest.mark.parametrize("members", [5, 4096])
+def test_texts_of_near_prints_are_held_against_their_shingles(spark, members):
+    rows = []
+    for k in range(12):
+        passage, own = prose(30, 900 + k % 3), prose(100, 950 + k % 6)  # the passage, read forty times, makes the print
+        rows.append((k, " ".join([own] + [passage] * 40 + ([prose(12, 970 + k)] if k > 5 else []))))
+    rows += [(k, t) for k, t in enumerate(["", None, "word", "other word", prose(40, 990)], 20)]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in rows])
+    prints = {x.doc_id: x.bits for x in simhash.fingerprints(docs).collect()}
+    sets = {i: shingles(t) if t else set() for i, t in rows}
+    near = lambda a, b: bin((prints[a] ^ prints[b]) % 2**64).count("1") <= 4
+    alike = lambda a, b: not sets[a] | sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    expected = {i: min(j for j in sets if alike(i, j)) for i in sets}
+    assert any(near(a, b) and not alike(a, b) for a in range(12) for b in range(a))
+    assert all(near(i, e) for i, e in expected.items()) and sum(i != e for i, e in expected.items()) == 7
+    found = simhash.similar_documents(docs, members=members, bands=1, rows=200)  # a band that hardly any copies share
+    assert {x.doc_id: x.component_id for x in found.collect()} == expected
+
+
 def test_unlike_texts_of_few_words_stay(spark):
     rows = [(k, prose(3000, 100 + k), None, None, None) for k in range(20)]
     docs = documents(spark, rows)
