@@ -14,8 +14,12 @@ def joined(large: DataFrame, small: DataFrame, key: str, rows: int) -> DataFrame
 
     `small` has one row for each key and in `n` at least how many rows of `large` have it; all `n` add up to `rows` or less. A key with a
     third of all rows would be a single task of a shuffled join. Those of over `rows` / 65,536 rows can't be more than 65,536, so they are
-    broadcast, and their rows of `large` stay where they are; the others are shuffled. `n` is left out of the result.
+    broadcast, and their rows of `large` stay where they are; the others are shuffled. With 65,536 rows or fewer there are no more keys than
+    that, so all are broadcast: shuffling so few rows costs a file and a task for each partition, whatever is in it. `n` is left out of the
+    result.
     """
+    if rows <= HOT:
+        return large.join(F.broadcast(small.drop("n")), key)
     limit = max(256, rows // HOT)
     hot = F.broadcast(small.where(F.col("n") > limit).drop("n"))
     cold = small.where(F.col("n") <= limit).drop("n")
@@ -40,7 +44,7 @@ def components(links: DataFrame, left: str = "left", right: str = "right") -> Da
     state = _state(links)
     while state[0]:
         # every node sees its neighbours on both sides; the larger ones are tied to the smallest of all
-        both = links.union(links.select("root", "node"))
+        both = links.select(F.explode(F.array(F.struct("node", "root"), F.struct(F.col("root").alias("node"), F.col("node").alias("root")))).alias("l")).select("l.*")
         least = both.groupBy("node").agg(F.min("root").alias("least"), F.count("*").alias("n")).withColumnRenamed("node", "root")
         large = (
             joined(links, least, "root", 2 * state[0])

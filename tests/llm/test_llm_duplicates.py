@@ -9,6 +9,7 @@ import xxhash
 from llm_data import documents, ascii_lower, prose
 from pyspark.sql import functions as F
 
+from tagpulse.llm import components as components_module
 from tagpulse.llm import simhash, substrings
 from tagpulse.llm.components import components, joined
 from tagpulse.llm.queries import QUERIES, table
@@ -255,3 +256,63 @@ def test_links_of_a_group_connect_what_all_pairs_would():
         for a, b in zip(left.tolist(), right.tolist()):
             root[max(top(a), top(b))] = min(top(a), top(b))
         assert [top(m) for m in ids] == component_ids(ids, ids)
+
+
+def chains_and_stars():
+    links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(500 + 7 * k % 31, 500 + 7 * (k + 1) % 31) for k in range(20)]
+    return links + [(130, 129), (130, 130), (None, 3), (3, None), (0, 1)]
+
+
+def roots(links):
+    root = {n: n for pair in links if None not in pair for n in pair}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        if a is not None and b is not None:
+            root[max(top(a), top(b))] = min(top(a), top(b))
+    return {(n, top(n)) for n in root if top(n) != n}
+
+
+@pytest.mark.parametrize("hot", [1 << 16, 4])  # joins that broadcast all keys, and joins that shuffle those that aren't hot
+def test_components_by_either_join(spark, monkeypatch, hot):
+    monkeypatch.setattr(components_module, "HOT", hot)
+    links = spark.createDataFrame(chains_and_stars(), "left long, right long").repartition(3)
+    assert sorted(map(tuple, components_module.components(links).collect())) == sorted(roots(chains_and_stars()))
+
+
+@pytest.mark.parametrize("hot", [1 << 16, 8])
+def test_either_join_gives_the_same(spark, monkeypatch, hot):
+    monkeypatch.setattr(components_module, "HOT", hot)
+    key = F.when(F.col("id") < 2000, 7).when(F.col("id") < 2900, F.col("id"))  # NULL from 2900 on
+    large = spark.range(3000).select(key.alias("key"), "id").union(spark.createDataFrame([(8, 9999)], "key long, id long"))
+    small = large.where("key is not null and key <> 8").groupBy("key").agg(F.max("id").alias("most"), F.count("*").alias("n"))
+    got = joined(large, small, "key", 3001)
+    assert got.columns == ["key", "id", "most"]
+    assert sorted(map(tuple, got.collect())) == [(7, i, 1999) for i in range(2000)] + [(i, i, i) for i in range(2000, 2900)]
+
+
+def test_rounds_over_few_links_are_few_tasks(spark, monkeypatch):
+    """A task is two files and more of each shuffle, whatever it holds: links that fit in one are not shuffled for every join."""
+    counted, state = [], components_module._state
+    monkeypatch.setattr(components_module, "_state", lambda links: counted.append(1) or state(links))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    links = spark.createDataFrame([(k, k + 1) for k in range(40)], "left long, right long")
+    sc = spark.sparkContext
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sc.setJobGroup("rounds", "rounds")
+        found = components_module.components(links)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.root for r in found.collect()} == {0}
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("rounds") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+    assert 0 < tasks < 9 * 16 * (len(counted) - 1) + 100, (tasks, len(counted))
